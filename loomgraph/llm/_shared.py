@@ -220,3 +220,47 @@ def with_texts(pairs: DataFrame, texts: DataFrame, key: str, text: str = "text")
 
 
 ASCII_SPACE = re.compile(r"[^ \t-\r]+")
+
+
+def groups(it: Iterator[pa.RecordBatch], keys: list[int]) -> Iterator[pa.Table]:
+    """Complete groups of rows with equal key columns, from sorted batches.
+
+    Only the group at hand is held; callers bound its size by salting.
+    """
+    held: list[pa.RecordBatch] = []
+    held_key = None
+    for b in it:
+        if not b.num_rows:
+            continue
+        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(b.num_rows, bool)
+        for c in cols:
+            change[1:] |= c[1:] != c[:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), b.num_rows]
+        for lo, hi in zip(edges, edges[1:]):
+            key = tuple(c[lo] for c in cols)
+            if held and key != held_key:
+                yield pa.Table.from_batches(held)
+                held = []
+            held_key = key
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Merge(dict):
+    """Union-find over arbitrary keys; the smallest key names a set."""
+
+    def find(self, x):
+        self.setdefault(x, x)
+        root = x
+        while self[root] != root:
+            root = self[root]
+        while self[x] != root:
+            self[x], x = root, self[x]
+        return root
+
+    def union(self, x, y) -> None:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self[max(x, y)] = min(x, y)
