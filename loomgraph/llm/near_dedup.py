@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.llm._shared import U64, Stash, components, documents, mix, shingle_set, with_texts
@@ -51,7 +51,7 @@ def class_of(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - 2**63
 
 
-FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("sig", pa.list_(pa.int32())), ("sketch", pa.binary())])
+FEATURES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("sig", pa.list_(pa.int32())), ("sketch", pa.binary())])
 
 
 def _features(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +59,7 @@ def _features(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, big.num_rows, 500):
             b = big.slice(at, 500)
             n, cls, sig, sketch = [], [], [], []
-            for text in b.column(1).to_pylist():
+            for text in b.column(2).to_pylist():
                 s = shingle_set(text)
                 n.append(len(s))
                 if len(s):
@@ -71,12 +71,20 @@ def _features(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     cls.append(None)
                     sig.append(None)
                     sketch.append(None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, FEATURES.field("sig").type), pa.array(sketch, pa.binary())], schema=FEATURES)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, FEATURES.field("sig").type), pa.array(sketch, pa.binary())], schema=FEATURES)
+
+
+def row_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, cls, sig, sketch``; null class for documents without words."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_features, "doc_id long, n_shingles long, cls long, sig array<int>, sketch binary")
+    """``doc_id, row, n_shingles, cls, sig, sketch``; null class for documents without words.
+
+    ``row`` tells rows with null or repeated doc_id apart by their text.
+    """
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash(text).alias("row"), text.alias("text")).mapInArrow(_features, "doc_id long, row long, n_shingles long, cls long, sig array<int>, sketch binary")
 
 
 def _prefix(t, depth: int):
@@ -146,7 +154,7 @@ def _confirm(percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, kept, row`` for every row of ``docs``.
 
     Null or empty texts and texts without words have an empty set and are
     linked with nothing. Rows with equal sets are one class whatever their
@@ -177,11 +185,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = named.join(smallest, "component").select("cls", "smallest")
     label = first.where("copies > 1").select("cls", "rep").join(named, "cls", "full_outer").select("cls", F.coalesce("smallest", "rep").alias("component_id"))
     label = stash.put(label, "labels")
-    out = feats.select("doc_id", "n_shingles", "cls").join(label, "cls", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = feats.select("doc_id", "row", "n_shingles", "cls").join(label, "cls", "left")
+    out = out.select("doc_id", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` without the rows that are near copies of one kept, all columns as they are.
+
+    Of each component the rows with the smallest doc_id stay. Rows with a null
+    doc_id go if a document with one is linked to them, and stay otherwise.
+    """
+    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_loom_id"), F.col("row").alias("_loom_row")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_loom_id")) & (row_hash(F.col("text").cast("string")) == F.col("_loom_row"))
+    return docs.join(gone, same, "left_anti")
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir)).drop("row")

@@ -233,7 +233,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, piece: in
     default the ids themselves (``ids array<int>``). ``tie`` is a checksum that
     spreads rows whose doc_id is null or repeated.
     """
-    name, make, kind = payload or ("ids", lambda x: x.astype(np.int64), pa.list_(pa.int64()))
+    name, make, kind = payload or ("ids", lambda x: x.astype(np.int32), pa.list_(pa.int32()))
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("tie", pa.int64()), (name, kind)])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, piece: in
                             col.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(rows, schema)], schema=schema)
 
-    ddl = f"doc_id long, start long, length long, doc_tokens long, tie long, {name} " + ("array<long>" if payload is None else "long")
+    ddl = f"doc_id long, start long, length long, doc_tokens long, tie long, {name} " + ("array<int>" if payload is None else "long")
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, ddl)
 
 
