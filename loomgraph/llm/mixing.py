@@ -93,7 +93,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = f"""
-WITH s AS (
+WITH RECURSIVE s AS (
   SELECT coalesce(source, '') AS source_key, source IS NULL AS no_source,
          sum(coalesce(length(text), 0) + 1) AS mass
   FROM documents GROUP BY ALL
