@@ -123,7 +123,7 @@ def categories(html: Column, p: HtmlProfile = MEDIAWIKI) -> Column:
     if not p.category_scope:
         return F.array().cast("array<string>")
     found = F.regexp_extract_all(F.regexp_extract(html, p.category_scope, 1), F.lit(p.category), 1)
-    return F.filter(F.transform(found, F.trim), lambda c: c != "")
+    return F.filter(F.transform(found, lambda c: F.trim(c)), lambda c: c != "")
 
 
 def subcategories(html: Column, p: HtmlProfile = MEDIAWIKI) -> Column:

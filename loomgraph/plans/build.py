@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.functions import classify, cleaning, facts, fixed, markup, text
-from loomgraph.operators import graph
+from loomgraph.operators import graph, iterative
 
 BODY_CAP, RAW_CAP, CRAWL_TAGS = 16000, 4000, 8
 
@@ -36,7 +36,7 @@ def nodes_of(parsed: DataFrame, crawl: bool = False) -> DataFrame:
     out = ok.withColumn("kind", kind)
     return out.select(
         "id", "ord", "title", "kind.entry_type", "kind.subtype", F.col("body").alias("content"), "raw_html",
-        tags.alias("tags"), F.array("title").alias("aliases"), F.coalesce(F.get("categories", F.lit(0)), F.lit("")).alias("category"),
+        tags.alias("tags"), F.array().cast("array<string>").alias("aliases"), F.coalesce(F.get("categories", F.lit(0)), F.lit("")).alias("category"),
     )
 
 
@@ -48,6 +48,17 @@ def edges_of(parsed: DataFrame, crawl: bool = False) -> DataFrame:
     return graph.dedup_edges(e)
 
 
+def crawl(parsed: DataFrame, seeds: DataFrame, depth: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of the pages that ``seeds(id)`` reach along links, to ``depth`` steps.
+
+    Pages of excluded namespaces and empty ones end a path; only levels are iterated, over
+    (source, target) pairs, so page texts are not moved."""
+    nodes, edges = nodes_of(parsed, crawl=True), edges_of(parsed, crawl=True)
+    own = edges.join(nodes.select(F.col("id").alias("source")), "source", "left_semi")
+    reached = iterative.bfs_levels(own, seeds, depth).select("id")
+    return nodes.join(reached, "id", "left_semi"), own.join(reached.withColumnRenamed("id", "source"), "source", "left_semi")
+
+
 def canonical(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Duplicate nodes merged, edges moved to the kept ones."""
     keyed = nodes.withColumn("key", graph.title_key(F.col("id"), F.col("title")))
