@@ -17,11 +17,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+_STEP = U64(0x9E3779B97F4A7C15)
 SHINGLE_WORDS = 5
 
 
@@ -104,25 +104,59 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-class _WordHashes(dict):
-    """word -> 64-bit hash; bounded, as vocabularies grow without end."""
-
-    LIMIT = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_HASHES = _WordHashes()
-
-
-def word_hashes(ws: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, ws), dtype=U64, count=len(ws))
+_RANDOM = np.random.default_rng(65537)
+#: A random number for each byte, one for both cases of A-Z.
+_BYTE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
+_BYTE[65:91] = _BYTE[97:123]
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x2545F4914F6CDD1B
+_POWERS = np.ones(1, np.uint64)
+_INVERSE = np.ones(1, np.uint64)
+BLOCK_BYTES = 1 << 18
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
+    out = np.ones(n, np.uint64)
+    out[1:] = base % 2**64
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _block_hashes(raw: np.ndarray, blank: np.ndarray) -> np.ndarray:
+    global _POWERS, _INVERSE
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).view(np.int8)))
+    start, end = edge[0::2], edge[1::2]
+    n = len(raw)
+    if n > len(_POWERS):
+        size = max(n, 4096, min(2 * len(_POWERS), BLOCK_BYTES))
+        _POWERS, _INVERSE = _powers(_BASE, size), _powers(pow(_BASE, -1, 2**64), size)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * _POWERS[:n], out=sums[1:], dtype=np.uint64)
+    # a word's polynomial hash, from prefix sums and moved to place 0
+    h = (sums[end] - sums[start]) * _INVERSE[start]
+    return mix(h + (end - start).astype(np.uint64) * _STEP)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hash of each word of a text, in order, without a Python loop over words.
+
+    Words and their case are those of ``words``. Long texts are taken in blocks
+    that end at a blank.
+    """
+    if not text:
+        return np.zeros(0, np.uint64)
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    blank = _BLANK[raw]
+    out, at = [], 0
+    while at < len(raw):
+        to = at + BLOCK_BYTES
+        if to < len(raw):
+            ahead = blank[to:]
+            to = to + int(ahead.argmax()) if ahead.any() else len(raw)
+        out.append(_block_hashes(raw[at:to], blank[at:to]))
+        at = to
+    return out[0] if len(out) == 1 else np.concatenate(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -134,9 +168,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-_STEP = U64(0x9E3779B97F4A7C15)
-
-
 def grams(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of ``n`` consecutive items; one over all items if there are fewer."""
     if not len(h):
@@ -151,7 +182,7 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
 
 def shingle_set(text: str | None, n: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text."""
-    return np.unique(grams(word_hashes(words(text)), n))
+    return np.unique(grams(word_hashes(text), n))
 
 
 # --------------------------------------------------------------------------

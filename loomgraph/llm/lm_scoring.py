@@ -28,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm._shared import U64, Stash, crc_mod, documents, grams, groups, mix, partitions, word_hashes, words
+from loomgraph.llm._shared import U64, Stash, crc_mod, documents, grams, groups, mix, partitions, word_hashes
 
 GROUP_BYTES = 8_000_000
+#: Bytes of text whose n-grams one shard may hold.
+SHARD_BYTES = 64_000_000
 STRENGTHS = (3.0, 30.0, 300.0, 3000.0, 30000.0)
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
@@ -39,7 +41,7 @@ ADD = 0.1
 
 def tokens(text: str) -> np.ndarray:
     """Hashes of a text's words and the end."""
-    return np.append(word_hashes(words(text)), END)
+    return np.append(word_hashes(text), END)
 
 
 def arcs(t: np.ndarray) -> np.ndarray:
@@ -192,7 +194,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held=None
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), held.alias("held_out"))
     size = d.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b"), F.sum(F.when(~F.col("held_out"), 1).otherwise(0)).alias("train")).first()
     n_groups = max(1, -(-int(size.b or 0) // GROUP_BYTES))
-    shards = partitions(spark)
+    # as many shards as the session has partitions, more if its n-grams would not fit a task
+    shards = max(partitions(spark), -(-int(size.b or 0) // SHARD_BYTES))
     d = d.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)))
     dealt = d.select("grp", "text", (~F.col("held_out")).alias("train")).repartition(shards, "grp").sortWithinPartitions("grp")
     asked = dealt.mapInArrow(_requests(shards), "shard int, grp long, ord int, keys binary, counts binary")

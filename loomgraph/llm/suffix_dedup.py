@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.llm._passages import Found, confirm, identified, minima, neighbours, repeated
-from loomgraph.llm._shared import U64, Stash, documents, grams, mix, word_hashes, words
+from loomgraph.llm._shared import U64, Stash, documents, grams, mix, word_hashes
 
 GRAM, WINDOW = 8, 32
 RIGHT, LEFT = 30, 20
@@ -28,7 +28,7 @@ LEAST = 50
 
 def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the retained suffixes and the word they start at."""
-    h = word_hashes(words(text))
+    h = word_hashes(text)
     n = len(h)
     if n < LEAST:
         z = np.zeros(0, np.int64)
@@ -80,7 +80,7 @@ def _run(x: np.ndarray, y: np.ndarray) -> int:
 
 def extend(text_a: str, text_b: str, seeds: list) -> list[Found]:
     """Maximal matches of ``LEAST`` words or more through the seeds (pos, pos_b)."""
-    x, y = word_hashes(words(text_a)), word_hashes(words(text_b))
+    x, y = word_hashes(text_a), word_hashes(text_b)
     out: list[Found] = []
     covered = -1
     for p, q in sorted({(s["pos"], s["pos_b"]) for s in seeds}):

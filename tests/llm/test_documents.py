@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.llm import fingerprints, language_id, lm_scoring, mixing, near_dedup, packing, pii, suffix_dedup, window_dedup
+from loomgraph.llm import _shared as shared
 from loomgraph.llm._shared import shingle_set, words
 
 
@@ -18,6 +19,21 @@ def collect(df, *cols):
     return [tuple(r) for r in df.select(*cols).collect()]
 
 
+def test_word_hashes(monkeypatch):
+    rng = np.random.default_rng(1)
+    parts = ["a", "B", "ab", "BA", "é", "É", "\x85", "\xa0", "x" * 50, " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1f", "文"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 60))) for _ in range(800)]
+    seen = {}
+    for t in texts:
+        h = shared.word_hashes(t).tolist()
+        assert len(h) == len(words(t))
+        for w, x in zip(words(t), h):
+            assert seen.setdefault(w, x) == x
+    assert len(set(seen.values())) == len(seen) > 500
+    monkeypatch.setattr(shared, "BLOCK_BYTES", 7)
+    assert all(shared.word_hashes(t).tolist() == [seen[w] for w in words(t)] for t in texts)
+
+
 # -- packing ---------------------------------------------------------------------------
 
 
