@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm._shared import ASCII_SPACE, U64, Stash, groups, partitions, with_texts
+from loomgraph.llm._shared import ASCII_SPACE, U64, Stash, partitions, with_texts
 
 #: A key with more rows than this is dealt into sub-groups of about half of it.
 CROWD = 4096
@@ -87,35 +87,49 @@ def neighbours(rows: DataFrame, columns: list[str], back: int) -> DataFrame:
     ddl = "a long, b long, " + ", ".join([f"{c} {kinds[c]}" for c in columns] + [f"{c}_b {kinds[c]}" for c in columns])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[list[np.ndarray]] = [[] for _ in names]
-        size = 0
-        for g in groups(it, [0, 1]):
-            uid = g.column(2).to_numpy()
-            head = np.flatnonzero(np.concatenate(([True], uid[1:] != uid[:-1])))
-            if len(head) < 2:
-                continue
-            doc = np.cumsum(np.concatenate(([True], uid[1:] != uid[:-1]))) - 1
-            left, right = [np.flatnonzero(doc == 0)], []
-            right.append(np.full(len(left[0]), head[1]))
-            for d in range(1, back + 1):
-                own = np.flatnonzero(doc >= d)
+        for cols in whole_groups(it, 2):
+            key, salt, uid, vals = cols[0], cols[1], cols[2], cols[3:]
+            fresh_group = np.concatenate(([True], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])))
+            fresh_doc = fresh_group | np.concatenate(([True], uid[1:] != uid[:-1]))
+            doc = np.cumsum(fresh_doc) - 1  # documents and groups are numbered through the chunk
+            head = np.flatnonzero(fresh_doc)
+            group_of = np.cumsum(fresh_group)[head] - 1
+            first = np.flatnonzero(fresh_group[head])[group_of]  # first document of each document's group
+            n_docs = np.bincount(group_of)[group_of]
+            lead = (first == np.arange(len(head)))[doc]
+            left = [np.flatnonzero(lead & (n_docs[doc] > 1))]
+            right = [head[doc[left[0]] + 1]]
+            for k in range(1, back + 1):
+                own = np.flatnonzero(doc - k >= first[doc])
                 left.append(own)
-                right.append(head[doc[own] - d])
+                right.append(head[doc[own] - k])
             i, j = np.concatenate(left), np.concatenate(right)
-            vals = [g.column(3 + k).to_numpy() for k in range(len(columns))]
-            for col, x in zip(out, [uid[i], uid[j], *(v[i] for v in vals), *(v[j] for v in vals)]):
-                col.append(x)
-            size += len(i)
-            if size >= 20000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
-                out, size = [[] for _ in names], 0
-        if size:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (uid[i], uid[j], *(v[i] for v in vals), *(v[j] for v in vals))], names=names)
 
     dealt = rows.select("key", "salt", "uid", *columns).repartition(partitions(spark), "key", "salt").sortWithinPartitions("key", "salt", "uid", *columns)
     return dealt.mapInArrow(run, ddl)
 
 
+def whole_groups(it: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of chunks of sorted rows that end where a group of the first ``n_keys`` columns ends."""
+    held: list[np.ndarray] | None = None
+    for b in it:
+        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        if held is not None:
+            cols = [np.concatenate(x) for x in zip(held, cols)]
+        change = np.zeros(max(0, len(cols[0]) - 1), bool)
+        for c in cols[:n_keys]:
+            change |= c[1:] != c[:-1]
+        at = np.flatnonzero(change)
+        cut = int(at[-1]) + 1 if len(at) else 0
+        if cut:
+            yield [c[:cut] for c in cols]
+        held = [c[cut:] for c in cols]
+    if held is not None and len(held[0]):
+        yield held
+
+
 Found = tuple[int, int, int, int]  # words of a from, to; of b from, to
 
 
