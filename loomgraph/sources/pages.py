@@ -24,7 +24,7 @@ def html_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFr
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     name = F.regexp_extract("path", r"([^/]+)\.html$", 1)
-    return r.load(path).select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("id"), F.decode("content", "UTF-8").alias("html"), F.abs(F.xxhash64("path") % 1_000_000_000).alias("ord"))
+    return r.load(path).select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("id"), F.make_valid_utf8(F.col("content").cast("string")).alias("html"), F.abs(F.xxhash64("path") % 1_000_000_000).alias("ord"))
 
 
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
