@@ -35,7 +35,8 @@ def save(nodes: DataFrame, edges: DataFrame, path: str) -> None:
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
     """Pages to a graph: all of a folder, or what seeds reach."""
-    parsed = build.parse(pages.html_files(spark, args.wiki), markup.ARTICLE if args.layout == "article" else markup.MEDIAWIKI)
+    # written once: every later step reads parts of it
+    parsed = iterative.cut(build.parse(pages.html_files(spark, args.wiki), markup.ARTICLE if args.layout == "article" else markup.MEDIAWIKI))
     if args.seeds or args.auto_seeds:
         names = args.seeds.split(",") if args.seeds else list(DEFAULT_SEEDS)
         seeds = spark.createDataFrame([(s,) for s in names], "id string")
@@ -46,6 +47,7 @@ def extract(spark: SparkSession, args: argparse.Namespace) -> None:
         nodes, edges = build.nodes_of(parsed), build.edges_of(parsed)
     if not args.no_dedup:
         nodes, edges = build.canonical(nodes, edges)
+    nodes, edges = iterative.cut(nodes), iterative.cut(edges)
     nodes = nodes if args.no_enrich else build.enrich(nodes)
     save(nodes, edges, args.output)
     build.link_contexts(nodes).write.mode("overwrite").parquet(f"{args.output}/contexts")
