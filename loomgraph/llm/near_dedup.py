@@ -6,8 +6,10 @@ documents are candidates where their common prefix in some order is long. The
 depth adapts to the region: prefixes of ``STEP`` minima come first, and only
 regions with more than ``REGION`` members go to the next depth, where the longer
 common prefix tells nearer neighbours apart. In small regions all members are
-compared; in crowded ones each is compared with the region's first member at
-every depth, which is linear in the region's size.
+compared; in crowded ones each is first compared with the region's first member
+at every depth, which is linear in the region's size. Crowded regions whose
+members are then in more than one component are cut into blocks, and all pairs
+of members of different components are compared on their sketches.
 
 Documents with equal shingle sets form one class before the search, so exact
 copies cost nothing. Candidates whose signatures cannot come from sets as
@@ -26,12 +28,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm._shared import U64, Stash, components, documents, mix, shingle_set, with_texts
+from loomgraph.llm._shared import U64, Stash, components, documents, groups, mix, partitions, shingle_set, with_texts
 
 TREES, STEP = 24, 4
 DEPTHS = (4, 8, 16, 32)
 REGION = 16
 PERCENT = 75
+#: Members of a block of a crowded region.
+BLOCK = 512
+#: Partners of a member in a block that are tried before all others.
+BEST = 8
 
 _RNG = np.random.default_rng(20240229)
 _MULT = _RNG.integers(1, 2**32, TREES * STEP, dtype=np.uint64) * U64(2) + U64(1)
@@ -93,9 +99,10 @@ def _prefix(t, depth: int):
     return F.xxhash64(t, F.slice(F.concat("sig", "sig"), t * STEP + 1, min(depth, total)))
 
 
-def candidates(stash: Stash, classes: DataFrame) -> DataFrame:
-    """Distinct pairs ``a < b`` of classes to be compared."""
+def candidates(stash: Stash, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs ``a < b`` of classes to be compared, and ``bucket, n, cls`` of crowded regions."""
     out = []
+    crowded = None
     rows = classes.select("cls", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")).select(_prefix(F.col("t"), DEPTHS[0]).alias("bucket"), "cls", "t")
     for i, depth in enumerate(DEPTHS):
         rows = stash.put(rows, f"rows{depth}")
@@ -107,20 +114,69 @@ def candidates(stash: Stash, classes: DataFrame) -> DataFrame:
         stars = here.where((F.col("n") > REGION) & (F.col("cls") != F.col("first"))).select(F.col("first").alias("a"), F.col("cls").alias("b"))
         out.append(stash.put(small.unionAll(stars).distinct(), f"pairs{depth}"))
         large = here.where(F.col("n") > REGION)
+        if crowded is None:  # regions at greater depths are parts of these
+            crowded = large.select("bucket", "n", "cls")
         if i + 1 == len(DEPTHS) or large.isEmpty():
             break
         rows = large.select("cls", "t").join(classes.select("cls", "sig"), "cls").select(_prefix(F.col("t"), DEPTHS[i + 1]).alias("bucket"), "cls", "t")
     pairs = out[0]
     for more in out[1:]:
         pairs = pairs.unionAll(more)
-    return pairs.distinct()
+    return pairs.distinct(), crowded
+
+
+def _need(least: float) -> float:
+    """In how many places signatures must agree."""
+    width = TREES * STEP
+    sd = (least * (1 - least) / width) ** 0.5
+    return (least - 5.2 * sd) * width
+
+
+def _across(need: float, best: int | None):
+    """Rows ``bucket, bi, bj, blk, cls, component, sketch``, sorted -> likely pairs of two components."""
+    width = TREES * STEP
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in groups(it, [0, 1, 2]):
+            blk, cls, comp = (t.column(k).to_numpy() for k in (3, 4, 5))
+            sk = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint8).reshape(-1, width)
+            bi, bj = t.column(1)[0].as_py(), t.column(2)[0].as_py()
+            left, right = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
+            for i in left.tolist():
+                # a pair within a block is met once, but each member has its own best ones
+                j = right[comp[right] != comp[i]]
+                if best is None and bi == bj:
+                    j = j[j > i]
+                same = (sk[j] == sk[i]).sum(axis=1)
+                j, same = j[same >= need], same[same >= need]
+                if best is not None and len(j) > best:
+                    j = j[np.argpartition(-same, best)[:best]]
+                if len(j):
+                    a, b = np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def across(stash: Stash, crowded: DataFrame, sketches: DataFrame, joined: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Likely pairs ``a < b`` of different components within crowded regions: all, or ``best`` a member and block.
+
+    Regions of one component have none, however large they are.
+    """
+    spark = crowded.sparkSession
+    rows = crowded.join(joined.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    mixed = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    rows = rows.join(mixed, "bucket").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
+    other = F.explode(F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: F.struct(F.least(o, F.col("blk")).alias("bi"), F.greatest(o, F.col("blk")).alias("bj"))))
+    rows = rows.select("bucket", "blk", "cls", "component", other.alias("p")).join(sketches, "cls").select("bucket", "p.bi", "p.bj", "blk", "cls", "component", "sketch")
+    rows = rows.repartition(partitions(spark), "bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "cls")
+    return stash.put(rows.mapInArrow(_across(_need(percent / 100), best), "a long, b long").distinct(), "across")
 
 
 def _likely(least: float):
     """Keeps pairs whose signatures agree in enough places."""
     width = TREES * STEP
-    sd = (least * (1 - least) / width) ** 0.5
-    need = (least - 5.2 * sd) * width
+    need = _need(least)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -153,6 +209,17 @@ def _confirm(percent: int):
     return run
 
 
+def _confirmed(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` whose full shingle sets are as similar as asked."""
+    needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(needed, "rep").select("cls", "text")
+    texts = stash.put(texts, "texts")
+    links = with_texts(pairs, texts, "cls").select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "a long, b long")
+    links = stash.put(links.distinct(), "links")
+    stash.drop(texts)
+    return links
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, row`` for every row of ``docs``.
 
@@ -169,17 +236,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = stash.put(first, "classes")
     classes = feats.join(first.where("rep is not null"), "cls").where("doc_id = rep").select("cls", "rep", "sig", "sketch")
     classes = stash.put(classes, "signatures")
-    pairs = candidates(stash, classes)
+    pairs, crowded = candidates(stash, classes)
     sketches = classes.select("cls", "sketch")
     pairs = with_texts(pairs, sketches, "cls", "sketch").select("a", "b", "text_a", "text_b")
     pairs = stash.put(pairs.mapInArrow(_likely(percent / 100), "a long, b long").distinct(), "likely")
-    needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(needed, "rep").select("cls", "text")
-    texts = stash.put(texts, "texts")
-    links = with_texts(pairs, texts, "cls").select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "a long, b long")
-    links = stash.put(links.distinct(), "links")
-    stash.drop(texts)
+    links = _confirmed(stash, docs, classes, pairs, percent)
     joined = components(stash, links)
+    # the nearest ones of other components first, which leaves few for the pass over all
+    for best in (BEST, None):
+        pairs = across(stash, crowded, sketches, joined, percent, best)
+        if pairs.isEmpty():
+            continue
+        links = links.unionAll(_confirmed(stash, docs, classes, pairs, percent))
+        joined = components(stash, links)
     named = joined.join(classes.select("cls", "rep").distinct(), joined.node == F.col("cls"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
     named = named.join(smallest, "component").select("cls", "smallest")
