@@ -1,8 +1,9 @@
 """Groups and passages on which a shortened search loses something."""
 
 import numpy as np
+import pytest
 
-from loomgraph.llm import near_dedup
+from loomgraph.llm import near_dedup, window_dedup
 from loomgraph.llm._shared import shingle_set
 
 
@@ -33,3 +34,21 @@ def test_large_group_of_loose_copies(spark):
         label = low
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).select("doc_id", "component_id").collect()
     assert sorted(tuple(r) for r in got) == list(enumerate(label.tolist()))
+
+
+@pytest.mark.parametrize("size,at,more", [(90, 45, 8), (90, 30, 8), (99, 50, 12), (96, 40, 10)])
+def test_passage_with_a_changed_clause(size, at, more):
+    """Words put in between take a passage apart, but leave it at 0.75."""
+    p = [f"w{i}" for i in range(size)]
+    a = " ".join([f"a{i}" for i in range(60)] + p + [f"b{i}" for i in range(60)])
+    b = " ".join([f"c{i}" for i in range(20)] + p[:at] + [f"new{i}" for i in range(more)] + p[at:] + [f"d{i}" for i in range(60)])
+    for seed in (60 + at - 10, 60 + at + 4):
+        shift = -40 if seed < 60 + at else -40 + more
+        assert window_dedup.verify(a, b, [{"c": seed, "c_b": seed + shift}]) == [(60, 60 + size, 20, 20 + size + more)]
+
+
+def test_two_passages_of_one_chain():
+    """Too wide a gap between passages costs neither of them."""
+    p, q = [f"w{i}" for i in range(100)], [f"v{i}" for i in range(90)]
+    a, b = " ".join([*p, *q]), " ".join([*p, *(f"new{i}" for i in range(58)), *q])
+    assert sorted(window_dedup.verify(a, b, [{"c": 50, "c_b": 50}])) == [(0, 100, 0, 100), (100, 190, 158, 248)]
