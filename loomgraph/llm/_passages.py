@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm._shared import ASCII_SPACE, U64, Stash, partitions, with_texts
 
-#: A key with more rows than this is dealt into sub-groups of about half of it.
+#: A key with more rows than this is dealt into sub-groups of about half of it. Each
+#: of them also gets a row of the key's first and last document, so that no document is alone.
 CROWD = 4096
 PLACE_BITS = 20
 
@@ -65,10 +66,16 @@ def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def repeated(stash: Stash, rows: DataFrame) -> DataFrame:
     """Rows ``key, uid, ...`` whose key more than one document has, with a salt for crowded keys."""
     rows = stash.put(rows, "anchors")
-    many = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key", "n")
+    many = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi")
     many = stash.put(many, "keys")
-    parts = F.when(F.col("n") > CROWD, F.ceil(F.col("n") / (CROWD // 2))).otherwise(F.lit(1))
-    both = rows.join(many, "key").withColumn("salt", F.pmod(F.xxhash64("uid", F.lit(1)), parts).cast("long")).drop("n")
+    parts = F.ceil(F.col("n") / (CROWD // 2))
+    salt = F.when(F.col("n") > CROWD, F.pmod(F.xxhash64("uid", F.lit(1)), parts)).otherwise(F.lit(0)).cast("long")
+    both = rows.join(many.select("key", "n"), "key").withColumn("salt", salt).drop("n")
+    crowds = many.where(F.col("n") > CROWD)
+    if not crowds.isEmpty():
+        ends = rows.join(crowds, "key").where((F.col("uid") == F.col("lo")) | (F.col("uid") == F.col("hi"))).dropDuplicates(["key", "uid"])
+        ends = ends.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).where(F.col("at") != salt)
+        both = both.unionByName(ends.drop("n", "lo", "hi").withColumnRenamed("at", "salt"))
     out = stash.put(both, "repeated")
     stash.drop(rows, many)
     return out

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from loomgraph.llm import near_dedup, window_dedup
+from loomgraph.llm import _passages, near_dedup, suffix_dedup, window_dedup
 from loomgraph.llm._shared import shingle_set
 
 
@@ -52,3 +52,18 @@ def test_two_passages_of_one_chain():
     p, q = [f"w{i}" for i in range(100)], [f"v{i}" for i in range(90)]
     a, b = " ".join([*p, *q]), " ".join([*p, *(f"new{i}" for i in range(58)), *q])
     assert sorted(window_dedup.verify(a, b, [{"c": 50, "c_b": 50}])) == [(0, 100, 0, 100), (100, 190, 158, 248)]
+
+
+@pytest.mark.parametrize("find", [suffix_dedup.repeated_passages, window_dedup.near_passages])
+def test_passage_many_times_in_one_document(spark, monkeypatch, find):
+    """Sub-groups of a crowded key keep no document from its only partner."""
+    monkeypatch.setattr(_passages, "CROWD", 8)
+    rng = np.random.default_rng(3)
+    text = lambda n: [f"q{x}" for x in rng.integers(0, 10**6, n)]
+    rows = []
+    for i in range(0, 12, 2):
+        p = text(60)
+        rows.append((i, " ".join(w for _ in range(40) for w in p + text(9))))
+        rows.append((i + 1, " ".join(text(50) + p + text(50))))
+    got = find(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "other_doc_id").collect()
+    assert {tuple(r) for r in got} == {(i, i ^ 1) for i in range(12)}
