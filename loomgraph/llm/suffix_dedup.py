@@ -4,9 +4,12 @@ Of all suffixes of a text only those are retained that start at a minimiser:
 the word 8-gram with the least hash among 32 in a row. A passage of 39 words or
 more has the same minimisers wherever it occurs. Suffixes are sorted by their
 next 30 words, and also by the 28 words around the start (20 before it), since
-of 50 common words at least one of the two lies within them. Neighbours in that
-order are compared: from the common start the match is extended word by word to
-the left and to the right, and reported if it has ``LEAST`` words or more.
+of 50 common words at least one of the two lies within them. Where just two
+suffixes are alike, they are compared. Where there are more, neighbours need not
+be the ones with the longest match on both sides; there every 50 words in a row
+that include the start of a suffix are sorted as well, and any two documents that
+have them are compared. From the common start the match is extended word by word
+to the left and to the right, and reported if it has ``LEAST`` words or more.
 """
 
 from __future__ import annotations
@@ -67,6 +70,20 @@ def _anchor_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key)), pa.array(np.concatenate(uid).astype(np.int64)), pa.array(np.concatenate(pos).astype(np.int32))], names=["key", "uid", "pos"])
 
 
+def _windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts and starts of suffixes -> all runs of ``LEAST`` words around a suffix's 8-gram."""
+    for big in it:
+        for at in range(0, big.num_rows, 200):
+            for u, t, starts in zip(*(big.slice(at, 200).column(i).to_pylist() for i in range(3))):
+                g = grams(word_hashes(t), LEAST)
+                edge = np.zeros(len(g) + 1, np.int64)
+                for p in starts:
+                    edge[max(0, p + GRAM - LEAST)] += 1
+                    edge[min(p + 1, len(g))] -= 1
+                pos = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+                yield pa.RecordBatch.from_arrays([pa.array(g[pos].view(np.int64)), pa.array(np.full(len(pos), u, np.int64)), pa.array(pos.astype(np.int32))], names=["key", "uid", "pos"])
+
+
 def _run(x: np.ndarray, y: np.ndarray) -> int:
     """How many items from the start on are equal."""
     n, at, step = min(len(x), len(y)), 0, 64
@@ -104,8 +121,18 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     stash = Stash(docs.sparkSession, "suffixes")
     d = identified(docs, doc_id, text)
-    rows = repeated(stash, d.select("uid", "text").mapInArrow(_anchor_rows, "key long, uid long, pos int"))
-    pairs = neighbours(rows, ["pos"], back=1).groupBy("a", "b").agg(F.collect_set(F.struct("pos", "pos_b")).alias("seeds"))
+    rows = stash.put(d.select("uid", "text").mapInArrow(_anchor_rows, "key long, uid long, pos int"), "suffixes")
+    many = stash.put(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key", "n"), "shared")
+    alike = stash.put(rows.join(many, "key"), "alike")
+    stash.drop(rows, many)
+    two = neighbours(alike.where("n = 2").withColumn("salt", F.lit(0).cast("long")), ["pos"], back=1)
+    starts = alike.where("n > 2").groupBy("uid").agg(F.collect_set("pos").alias("starts"))
+    windows = d.select("uid", "text").join(starts, "uid").select("uid", "text", "starts").mapInArrow(_windows, "key long, uid long, pos int")
+    # seeds of windows are sure to be a match, those of two suffixes are not and stay as they are
+    met = two.withColumn("sure", F.lit(0)).unionAll(neighbours(repeated(stash, windows), ["pos"], back=1).withColumn("sure", F.lit(1)))
+    # matches of LEAST words that begin less than that apart at one distance are one
+    met = met.groupBy("a", "b", (F.col("pos") - F.col("pos_b")).alias("apart"), F.when(F.col("sure") == 1, F.floor(F.col("pos") / LEAST)).otherwise(-1 - F.col("pos")).alias("part")).agg(F.min("pos").alias("pos"))
+    pairs = met.select("a", "b", F.struct("pos", (F.col("pos") - F.col("apart")).alias("pos_b")).alias("seed")).groupBy("a", "b").agg(F.collect_set("seed").alias("seeds"))
     return confirm(stash, stash.put(pairs, "pairs"), d, extend)
 
 

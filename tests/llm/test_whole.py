@@ -1,5 +1,7 @@
 """Groups and passages on which a shortened search loses something."""
 
+import collections
+
 import numpy as np
 import pytest
 
@@ -67,3 +69,18 @@ def test_passage_many_times_in_one_document(spark, monkeypatch, find):
         rows.append((i + 1, " ".join(text(50) + p + text(50))))
     got = find(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "other_doc_id").collect()
     assert {tuple(r) for r in got} == {(i, i ^ 1) for i in range(12)}
+
+
+def test_passages_of_loose_copies(spark):
+    """Every word in 50 that another document has, among many copies that differ in a few words."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(400)]
+    texts = [edited(rng, base, int(rng.integers(5, 8))) for _ in range(200)]
+    seen = collections.Counter(tuple(t[i : i + 50]) for t in texts for i in range(351))
+    want = {(d, k) for d, t in enumerate(texts) for i in range(351) if seen[tuple(t[i : i + 50])] > 1 for k in range(i, i + 50)}
+    found = suffix_dedup.repeated_passages(spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")).collect()
+    got = set()
+    for r in found:
+        first = " ".join(texts[r.doc_id])[: r.start].count(" ")
+        got |= {(r.doc_id, k) for k in range(first, first + r.n_words)}
+    assert got == want
