@@ -210,6 +210,12 @@ def entity_decode(spark, d):
     return table(spark, d, "pages").select("page_id", markup.decode_entities(F.regexp_extract("html", "(?s)<footer>(.*?)</footer>", 1)).alias("decoded"))
 
 
+@query()
+def entity_decode_all(spark, d):
+    """The whole of each page."""
+    return table(spark, d, "pages").select("page_id", markup.decode_entities(F.col("html")).alias("decoded"))
+
+
 @query("""SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)\\bSubcategories\\b') AND len(regexp_extract(text, '(?is)^(.*?)\\bSubcategories\\b', 1)) > 0.4 * len(text)
   THEN regexp_replace(regexp_extract(text, '(?is)^(.*?)\\bSubcategories\\b', 1), '^\\s+|\\s+$', '', 'g') ELSE text END AS cut FROM (SELECT doc_id, text || ' Subcategories ' || doc_id AS text FROM documents)""")
 def nav_cut(spark, d):
@@ -311,6 +317,12 @@ def replies_and_prompts(spark, d):
     return t.select("conv_id", "turn", "r.entry_type", "r.subtype", F.left(text.prompt(F.col("role"), F.col("text"), 600), F.lit(80)).alias("prompt"))
 
 
+@query()
+def prompts_all(spark, d):
+    """Prompts with all that the limit of 600 characters leaves."""
+    return table(spark, d, "conversations").select("conv_id", "turn", text.prompt(F.col("role"), F.col("text"), 600).alias("prompt"))
+
+
 # -- classification ---------------------------------------------------------------------
 
 
@@ -545,6 +557,13 @@ def spell_correct(spark, d):
     return search.corrections(i, odd)
 
 
+@query()
+def spell_correct_all(spark, d):
+    """Misspellings of the whole vocabulary."""
+    i = search.build(corpus(spark, d))
+    return search.corrections(i, i.vocabulary.select(F.concat("word", F.lit("q")).alias("word")))
+
+
 def _index(spark, d):
     n = corpus(spark, d)
     e = doc_edges(n)
