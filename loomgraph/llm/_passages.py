@@ -73,9 +73,10 @@ def repeated(stash: Stash, rows: DataFrame) -> DataFrame:
     both = rows.join(many.select("key", "n"), "key").withColumn("salt", salt).drop("n")
     crowds = many.where(F.col("n") > CROWD)
     if not crowds.isEmpty():
-        ends = rows.join(crowds, "key").where((F.col("uid") == F.col("lo")) | (F.col("uid") == F.col("hi"))).dropDuplicates(["key", "uid"])
+        ends = crowds.select("key", "n", F.explode(F.array("lo", "hi")).alias("uid"))  # joined by document too, as keys are crowded
+        ends = rows.join(ends, ["key", "uid"]).dropDuplicates(["key", "uid"])
         ends = ends.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).where(F.col("at") != salt)
-        both = both.unionByName(ends.drop("n", "lo", "hi").withColumnRenamed("at", "salt"))
+        both = both.unionByName(ends.drop("n").withColumnRenamed("at", "salt"))
     out = stash.put(both, "repeated")
     stash.drop(rows, many)
     return out
