@@ -70,16 +70,13 @@ def repeated(stash: Stash, rows: DataFrame) -> DataFrame:
     many = stash.put(many, "keys")
     parts = F.ceil(F.col("n") / (CROWD // 2))
     salt = F.when(F.col("n") > CROWD, F.pmod(F.xxhash64("uid", F.lit(1)), parts)).otherwise(F.lit(0)).cast("long")
-    both = rows.join(many.select("key", "n"), "key").withColumn("salt", salt).drop("n")
-    crowds = many.where(F.col("n") > CROWD)
-    if not crowds.isEmpty():
-        ends = crowds.select("key", "n", F.explode(F.array("lo", "hi")).alias("uid"))  # joined by document too, as keys are crowded
-        ends = rows.join(ends, ["key", "uid"]).dropDuplicates(["key", "uid"])
-        ends = ends.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).where(F.col("at") != salt)
-        both = both.unionByName(ends.drop("n").withColumnRenamed("at", "salt"))
-    out = stash.put(both, "repeated")
+    end = (F.col("n") > CROWD) & ((F.col("uid") == F.col("lo")) | (F.col("uid") == F.col("hi")))
+    both = rows.join(many, "key").withColumn("salt", salt).withColumn("parts", F.when(end, parts).otherwise(F.lit(0)).cast("long"))
+    both = stash.put(both.drop("n", "lo", "hi"), "repeated")
     stash.drop(rows, many)
-    return out
+    ends = both.where("parts > 0").dropDuplicates(["key", "uid"])
+    ends = ends.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).where(F.col("at") != F.col("salt"))
+    return both.drop("parts").unionByName(ends.drop("salt", "parts").withColumnRenamed("at", "salt"))
 
 
 def neighbours(rows: DataFrame, columns: list[str], back: int) -> DataFrame:
