@@ -1,21 +1,26 @@
 """Operator 2: near-duplicate documents by an LSH forest over MinHash signatures.
 
 A signature has ``TREES * STEP`` minima of a document's 5-word shingles. Tree
-``t`` orders documents by the signature rotated to start at ``t * STEP``; two
-documents are candidates where their common prefix in some order is long. The
-depth adapts to the region: prefixes of ``STEP`` minima come first, and only
-regions with more than ``REGION`` members go to the next depth, where the longer
-common prefix tells nearer neighbours apart. In small regions all members are
-compared; in crowded ones each is first compared with the region's first member
-at every depth, which is linear in the region's size. Crowded regions whose
-members are then in more than one component are cut into blocks, and all pairs
-of members of different components are compared on their sketches.
+``t`` sorts documents by the signature rotated to start at ``t * STEP``. A region
+of a tree is a run of documents that have the first ``STEP`` minima in common;
+within it the sorted order puts those with the longest common prefix next to
+each other, so that the depth at which neighbours part adapts to the region: the
+more crowded it is, the longer the prefixes that neighbours share. Each document
+is compared with the ``NEAR`` ones before and after it in every order, which in
+regions of up to ``NEAR + 1`` members is each with every other.
+
+Regions that hold more members than that, and whose members are then in more
+than one component, are cut into blocks, and all pairs of members of different
+components are compared on their sketches, so no link between components is lost.
 
 Documents with equal shingle sets form one class before the search, so exact
 copies cost nothing. Candidates whose signatures cannot come from sets as
 similar as asked (more than five standard deviations below) are left out; the
 others are confirmed on full shingle sets. Connected components of the
 confirmed links are computed by distributed star contraction.
+
+Orders are dealt by ranges: small regions stay whole, a crowded one may span
+any number of tasks, so a region that holds a third of all rows is no hot task.
 """
 
 from __future__ import annotations
@@ -31,8 +36,10 @@ from pyspark.sql import functions as F
 from loomgraph.llm._shared import U64, Stash, components, documents, groups, mix, partitions, shingle_set, with_texts
 
 TREES, STEP = 24, 4
-DEPTHS = (4, 8, 16, 32)
-REGION = 16
+#: Neighbours of a document on either side of it in an order.
+NEAR = 16
+#: A region with more members may be dealt to several tasks.
+WHOLE = 4096
 PERCENT = 75
 #: Members of a block of a crowded region.
 BLOCK = 512
@@ -93,36 +100,54 @@ def features(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash(text).alias("row"), text.alias("text")).mapInArrow(_features, "doc_id long, row long, n_shingles long, cls long, sig array<int>, sketch binary")
 
 
-def _prefix(t, depth: int):
-    """Hash of ``depth`` minima from place ``t * STEP`` on, around the end."""
-    total = TREES * STEP
-    return F.xxhash64(t, F.slice(F.concat("sig", "sig"), t * STEP + 1, min(depth, total)))
-
-
-def candidates(stash: Stash, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs ``a < b`` of classes to be compared, and ``bucket, n, cls`` of crowded regions."""
-    out = []
-    crowded = None
-    rows = classes.select("cls", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")).select(_prefix(F.col("t"), DEPTHS[0]).alias("bucket"), "cls", "t")
-    for i, depth in enumerate(DEPTHS):
-        rows = stash.put(rows, f"rows{depth}")
-        regions = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("cls").alias("first")).where("n > 1")
-        here = stash.put(rows.join(regions, "bucket"), f"regions{depth}")
-        stash.drop(rows)
-        small = here.where(F.col("n") <= REGION).groupBy("bucket").agg(F.array_sort(F.collect_set("cls")).alias("m"))
-        small = small.select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", i + F.lit(2), F.lit(REGION)), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
-        stars = here.where((F.col("n") > REGION) & (F.col("cls") != F.col("first"))).select(F.col("first").alias("a"), F.col("cls").alias("b"))
-        out.append(stash.put(small.unionAll(stars).distinct(), f"pairs{depth}"))
-        large = here.where(F.col("n") > REGION)
-        if crowded is None:  # regions at greater depths are parts of these
-            crowded = large.select("bucket", "n", "cls")
-        if i + 1 == len(DEPTHS) or large.isEmpty():
-            break
-        rows = large.select("cls", "t").join(classes.select("cls", "sig"), "cls").select(_prefix(F.col("t"), DEPTHS[i + 1]).alias("bucket"), "cls", "t")
-    pairs = out[0]
-    for more in out[1:]:
-        pairs = pairs.unionAll(more)
-    return pairs.distinct(), crowded
+def orders(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``region, n, order, cls`` of all regions with two members or more, and ``region, n, cls`` of crowded ones.
+
+    ``order`` is the sketch from the region's minima on, around the end.
+    """
+    place = F.col("t") * STEP
+    region = F.xxhash64("t", F.slice("sig", place + 1, STEP)).alias("region")
+    rows = classes.select("cls", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")).select(region, "cls", "t")
+    shared = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
+    here = rows.join(shared, "region")
+    turned = F.concat(F.expr(f"substring(sketch, t * {STEP} + 1)"), F.expr(f"substring(sketch, 1, t * {STEP})")).alias("order")
+    return here.join(classes.select("cls", "sketch"), "cls").select("region", "n", turned, "cls"), here.where(F.col("n") > NEAR + 1).select("region", "n", "cls")
+
+
+def _neighbours(need: float):
+    """Sorted rows ``region, order, cls`` -> likely pairs of neighbours ``a < b``."""
+    width = TREES * STEP
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region, cls, sk = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width), np.uint8)
+        for big in it:
+            for at in range(0, big.num_rows, 4000):
+                b = big.slice(at, 4000)
+                held = len(cls)
+                region = np.concatenate((region, b.column(0).to_numpy()))
+                cls = np.concatenate((cls, b.column(2).to_numpy()))
+                sk = np.concatenate((sk, np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, width)))
+                left, right = [], []
+                for step in range(1, min(NEAR, len(cls) - 1) + 1):
+                    j = np.arange(max(held, step), len(cls))
+                    j = j[region[j] == region[j - step]]
+                    j = j[(sk[j] == sk[j - step]).sum(axis=1) >= need]
+                    left.append(cls[j - step])
+                    right.append(cls[j])
+                if left and len(x := np.concatenate(left)):
+                    y = np.concatenate(right)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                region, cls, sk = region[-NEAR:], cls[-NEAR:], sk[-NEAR:]
+
+    return run
+
+
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs ``a < b`` of classes next to each other in some order."""
+    part = F.when(F.col("n") > WHOLE, F.concat("order", F.col("cls").cast("string").cast("binary"))).otherwise(F.lit(b""))
+    rows = rows.withColumn("part", part).repartitionByRange(partitions(rows.sparkSession), "region", "part")
+    rows = rows.select("region", "order", "cls").sortWithinPartitions("region", "order", "cls")
+    return rows.mapInArrow(_neighbours(_need(percent / 100)), "a long, b long").distinct()
 
 
 def _need(least: float) -> float:
@@ -133,7 +158,7 @@ def _need(least: float) -> float:
 
 
 def _across(need: float, best: int | None):
-    """Rows ``bucket, bi, bj, blk, cls, component, sketch``, sorted -> likely pairs of two components."""
+    """Rows ``region, bi, bj, blk, cls, component, sketch``, sorted -> likely pairs of two components."""
     width = TREES * STEP
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,28 +190,14 @@ def across(stash: Stash, crowded: DataFrame, sketches: DataFrame, joined: DataFr
     """
     spark = crowded.sparkSession
     rows = crowded.join(joined.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    mixed = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    rows = rows.join(mixed, "bucket").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
+    mixed = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("region")
+    rows = rows.join(mixed, "region").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
     other = F.explode(F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: F.struct(F.least(o, F.col("blk")).alias("bi"), F.greatest(o, F.col("blk")).alias("bj"))))
-    rows = rows.select("bucket", "blk", "cls", "component", other.alias("p")).join(sketches, "cls").select("bucket", "p.bi", "p.bj", "blk", "cls", "component", "sketch")
-    rows = rows.repartition(partitions(spark), "bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "cls")
+    rows = rows.select("region", "blk", "cls", "component", other.alias("p")).join(sketches, "cls").select("region", "p.bi", "p.bj", "blk", "cls", "component", "sketch")
+    rows = rows.repartition(partitions(spark), "region", "bi", "bj").sortWithinPartitions("region", "bi", "bj", "cls")
     return stash.put(rows.mapInArrow(_across(_need(percent / 100), best), "a long, b long").distinct(), "across")
 
 
-def _likely(least: float):
-    """Keeps pairs whose signatures agree in enough places."""
-    width = TREES * STEP
-    need = _need(least)
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(-1, width) for i in (2, 3))
-                yield b.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= need))
-
-    return run
-
-
 def _confirm(percent: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
@@ -211,8 +222,9 @@ def _confirm(percent: int):
 
 def _confirmed(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` whose full shingle sets are as similar as asked."""
-    needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(needed, "rep").select("cls", "text")
+    needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct().join(classes.select("cls", *ROW), "cls")
+    text = F.col("text").cast("string")
+    texts = docs.select(*row_key(F.col("doc_id").cast("long"), row_hash(text)), text.alias("text")).join(needed, list(ROW)).select("cls", "text").dropDuplicates(["cls"])
     texts = stash.put(texts, "texts")
     links = with_texts(pairs, texts, "cls").select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "a long, b long")
     links = stash.put(links.distinct(), "links")
@@ -220,56 +232,76 @@ def _confirmed(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFra
     return links
 
 
+#: What tells one row from another: its text, and its doc_id, null or not.
+ROW = ("row", "no_id", "id")
+
+
+def row_key(doc_id: Column, row: Column) -> list[Column]:
+    return [row.alias("row"), doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("id")]
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept, row`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, kept, row, grp`` for every row of ``docs``.
 
     Null or empty texts and texts without words have an empty set and are
-    linked with nothing. Rows with equal sets are one class whatever their
-    doc_id. A null doc_id never names a component: such a row gets the smallest
-    doc_id it is linked to, or null if there is none, and is kept only in the
-    latter case. Rows that repeat a doc_id get the same answer. Other columns
-    are ignored. An empty table gives no rows.
+    linked with nothing (``grp`` is null). Rows with equal sets are one class
+    whatever their doc_id; rows that repeat a doc_id with another text are
+    documents of their own. A null doc_id never names a component: such a row
+    gets the smallest doc_id it is linked to, or null if there is none, and is
+    kept only in the latter case. ``grp`` names the group also of those. Other
+    columns are ignored. An empty table gives no rows.
     """
     stash = Stash(docs.sparkSession, "near-dedup")
     feats = stash.put(features(docs), "features")
-    first = feats.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    first = stash.put(first, "classes")
-    classes = feats.join(first.where("rep is not null"), "cls").where("doc_id = rep").select("cls", "rep", "sig", "sketch")
+    # of each class the first row stands for all, whatever order rows come in
+    keyed = feats.where("cls is not null").select("cls", "doc_id", *row_key(F.col("doc_id"), F.col("row")))
+    first = keyed.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min(F.struct("no_id", "id", "row")).alias("r"), F.count("*").alias("copies"))
+    first = stash.put(first.select("cls", "rep", "copies", *(F.col(f"r.{c}") for c in ROW)), "classes")
+    classes = feats.select("cls", "sig", "sketch", *row_key(F.col("doc_id"), F.col("row"))).join(first.select("cls", "rep", *ROW), ["cls", *ROW]).dropDuplicates(["cls"])
     classes = stash.put(classes, "signatures")
-    pairs, crowded = candidates(stash, classes)
-    sketches = classes.select("cls", "sketch")
-    pairs = with_texts(pairs, sketches, "cls", "sketch").select("a", "b", "text_a", "text_b")
-    pairs = stash.put(pairs.mapInArrow(_likely(percent / 100), "a long, b long").distinct(), "likely")
+    rows, crowded = orders(classes)
+    pairs = stash.put(candidates(rows, percent), "likely")
+    crowded = stash.put(crowded, "crowded")
     links = _confirmed(stash, docs, classes, pairs, percent)
     joined = components(stash, links)
     # the nearest ones of other components first, which leaves few for the pass over all
-    for best in (BEST, None):
-        pairs = across(stash, crowded, sketches, joined, percent, best)
+    for best in (BEST, None) if not crowded.isEmpty() else ():
+        pairs = across(stash, crowded, classes.select("cls", "sketch"), joined, percent, best)
         if pairs.isEmpty():
             continue
         links = links.unionAll(_confirmed(stash, docs, classes, pairs, percent))
         joined = components(stash, links)
-    named = joined.join(classes.select("cls", "rep").distinct(), joined.node == F.col("cls"))
+    named = joined.join(first.select("cls", "rep"), joined.node == F.col("cls")).select("cls", "rep", "component")
     smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
-    named = named.join(smallest, "component").select("cls", "smallest")
-    label = first.where("copies > 1").select("cls", "rep").join(named, "cls", "full_outer").select("cls", F.coalesce("smallest", "rep").alias("component_id"))
+    named = named.join(smallest, "component").select("cls", "smallest", "component")
+    label = first.where("copies > 1").select("cls", "rep").join(named, "cls", "full_outer").select("cls", F.coalesce("smallest", "rep").alias("component_id"), "component")
     label = stash.put(label, "labels")
+    stash.keep(feats, label)
     out = feats.select("doc_id", "row", "n_shingles", "cls").join(label, "cls", "left")
-    out = out.select("doc_id", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = out.select("doc_id", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("component", "cls").alias("grp"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the rows that are near copies of one kept, all columns as they are.
+    """``docs`` with one row of each group of copies and near copies, all columns as they are.
 
-    Of each component the rows with the smallest doc_id stay. Rows with a null
-    doc_id go if a document with one is linked to them, and stay otherwise.
+    It is the row with the smallest doc_id, nulls last, ties by a hash of the
+    text; of rows that repeat both, one stays. Rows without words are in no
+    group and stay.
     """
-    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_loom_id"), F.col("row").alias("_loom_row")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_loom_id")) & (row_hash(F.col("text").cast("string")) == F.col("_loom_row"))
-    return docs.join(gone, same, "left_anti")
+    found = near_duplicates(docs, percent).where("grp is not null").select("grp", *row_key(F.col("doc_id"), F.col("row")))
+    found = Stash(docs.sparkSession, "near-rows").put(found.groupBy("grp", *ROW).agg(F.count("*").alias("times")), "rows")
+    best = found.groupBy("grp").agg(F.min(F.struct("no_id", "id", "row")).alias("r"))
+    other = found.join(best, "grp").where(F.struct("no_id", "id", "row") != F.col("r")).select(*ROW)
+    names = [f"_loom_{c}" for c in ROW]
+    keyed = docs.select("*", *(c.alias(n) for c, n in zip(row_key(F.col("doc_id").cast("long"), row_hash(F.col("text").cast("string"))), names)))
+    out = keyed.join(other.toDF(*names), names, "left_anti")
+    twice = found.where("times > 1").select(*ROW).toDF(*names)
+    if not twice.isEmpty():
+        out = out.join(twice, names, "left_anti").unionByName(out.join(twice, names, "left_semi").dropDuplicates(names))
+    return out.drop(*names)
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
-    return near_duplicates(documents(spark, sf_dir)).drop("row")
+    return near_duplicates(documents(spark, sf_dir)).drop("row", "grp")

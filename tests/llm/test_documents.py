@@ -39,7 +39,7 @@ def test_word_hashes(monkeypatch):
 
 def test_packing_round_trip(docs, nothing):
     encode = packing.ids_of(packing.default_vocabulary())
-    got = packing.pack(docs, group_docs=16).collect()
+    got = packing.pack(docs, group_bytes=20000).collect()
     seqs = collections.defaultdict(list)
     for r in got:
         seqs[r.sequence_id].append((r.offset, r.length))
@@ -61,7 +61,7 @@ def test_packing_round_trip(docs, nothing):
             want[d, s, tuple(ids[s : s + n]), len(ids)] += 1
     assert by == want
     assert packing.pack(nothing).count() == 0
-    again = packing.pack(docs.repartition(5), group_docs=16, payload=packing.CRC)
+    again = packing.pack(docs.repartition(5), group_bytes=20000, payload=packing.CRC)
     assert sorted(collect(again, "sequence_id", "offset", "length")) == sorted((r.sequence_id, r.offset, r.length) for r in got)
 
 
@@ -71,6 +71,21 @@ def test_ids_are_the_tokenizers(text):
     assert e(text).tolist() == e.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_random_strings():
+    e = packing.ids_of(packing.default_vocabulary())
+    parts = [*"abcXYZ019__.,.,    \n\t\r'-!?(", "'s", "'ll", "İ", "É", "é", "ß", "J̌", "½", "²", "文", "。", "ا", "́", "\u00a0", "\x85", "Σ", "😀"]
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(parts, rng.integers(1, 15))) for _ in range(20000)] + ["foo_, bar_. baz"]
+    want = e.whole.encode_batch(texts, add_special_tokens=False)
+    assert all(e(t).tolist() == w.ids for t, w in zip(texts, want))
+
+
+def test_ids_of_whole_documents(spark):
+    e = packing.ids_of(packing.default_vocabulary())
+    texts = [t for t, in collect(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "text") if t]
+    assert all(e(t).tolist() == w.ids for t, w in zip(texts, e.whole.encode_batch(texts, add_special_tokens=False)))
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 200])
 def test_windows(n):
     rng = np.random.default_rng(n)
@@ -105,21 +120,35 @@ def components(rows, percent=75):
     for i, (d, _) in enumerate(rows):
         if d is not None:
             low[find(i)] = min(d, low.get(find(i), d))
-    return [(d, len(sets[i]), low.get(find(i))) for i, (d, _) in enumerate(rows)]
+    return [(d, len(sets[i]), low.get(find(i))) for i, (d, _) in enumerate(rows)], [find(i) if sets[i] else -1 - i for i in range(len(rows))]
 
 
 def test_near_duplicates(docs, nothing):
     rows = collect(docs, "doc_id", "text")
     got = collect(near_dedup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
     key = lambda r: tuple(-1 if x is None else x for x in r)
-    assert sorted((r[:3] for r in got), key=key) == sorted(components(rows), key=key)
+    want, group = components(rows)
+    assert sorted((r[:3] for r in got), key=key) == sorted(want, key=key)
     assert all(k == (d == c) for d, _, c, k in got)
     kept = near_dedup.deduplicate(docs)
     assert kept.columns == docs.columns
-    assert sorted((d for d, in collect(kept, "doc_id")), key=lambda x: (x is None, x)) == sorted((d for d, _, _, k in got if k), key=lambda x: (x is None, x))
+    best = {}
+    for (d, _), g in zip(rows, group):
+        best[g] = min(best.get(g, (True, 0)), (d is None, d or 0))
+    assert sorted((d is None, d or 0) for d, in collect(kept, "doc_id")) == sorted(best.values())
     assert near_dedup.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0)])
+def test_one_doc_id_with_two_texts(spark, order):
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (5, " ".join([*a, "tail"]))]
+    d = spark.createDataFrame([rows[i] for i in order], "doc_id long, text string").coalesce(1)
+    assert sorted(collect(near_dedup.near_duplicates(d), "doc_id", "component_id")) == [(1, 1), (1, 1), (5, 1)]
+    none = spark.createDataFrame([(None, " ".join(a)), (None, " ".join([*a, "tail"])), (None, " ".join(b))], "doc_id long, text string")
+    assert near_dedup.deduplicate(none).count() == 2
+
+
 def test_crowded_region(spark):
     """One large group of near copies of one another, in more rows than a region compares in full."""
     base = [f"w{i}" for i in range(120)]
@@ -167,12 +196,19 @@ def test_poisson_mean(spark):
 
 
 def test_fingerprints(docs, nothing):
-    rows = sorted(((d, t or "") for d, t in collect(docs, "doc_id", "text")), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
-    want = []
-    for i, (d, t) in enumerate(rows):
+    rows = sorted(collect(docs.selectExpr("doc_id", "coalesce(text, '') as text", "xxhash64(coalesce(text, '')) as h"), "doc_id", "text", "h"), key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
+    want, alike = [], {}
+    for i, (d, t, _) in enumerate(rows):
         nxt = rows[(i + 1) % len(rows)][1]
+        own, new = set(shingle_set(t).tolist()), set(shingle_set(fingerprints.edited(t, nxt)).tolist())
         want.append((d, len(t), hashlib.sha256(fingerprints.edited(t, nxt).encode()).hexdigest(), fingerprints.pack(fingerprints.bins(shingle_set(t)))))
+        alike[d, want[-1][2]] = [(len(own & x) / len(own | x) if own | x else 1.0, len(own | x)) for x in (new, set(shingle_set(nxt).tolist()))]
     got = fingerprints.fingerprints(docs, n_buckets=5)
+    for r in got.collect():  # the estimate is near the true likeness; few shingles fill many bins and leave it rough
+        for x, (true, size) in zip((r.near_edited, r.near_next), alike[r.doc_id, r.edited_sha256]):
+            assert abs(x - true) < (0.12 if size >= 300 else 0.5 if size >= 10 else 1.01)
+    nulls = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert fingerprints.fingerprints(nulls, n_buckets=3).count() == len(rows)
     key = lambda r: tuple("" if x is None else str(x) for x in r)
     assert sorted(collect(got, "doc_id", "n_chars", "edited_sha256", "fingerprint"), key=key) == sorted(want, key=key)
     assert fingerprints.fingerprints(nothing).count() == 0
@@ -221,6 +257,33 @@ def test_base_spans(text):
     assert pii.base_spans(text) == brute_base(text)
 
 
+def test_base_spans_of_random_strings():
+    rng = np.random.default_rng(9)
+    for alphabet in ("ab1.@-_%é ", "0125. .", "45+ -1(", "a@.1"):
+        for _ in range(4000):
+            text = "".join(rng.choice(list(alphabet), rng.integers(1, 30)))
+            assert pii.base_spans(text) == brute_base(text)
+
+
+def test_very_long_runs():
+    import time
+
+    at = time.time()
+    for unit in ("1", "a", "a@", "1.", "+1", "1-", "(", "token ", "a.", "@a."):
+        pii.candidates(unit * (300_000 // len(unit)) + "@")
+    assert time.time() - at < 60
+
+
+def test_pii_odd_tables(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "a@b.cd", 1, "x"), (None, "a@b.cd", 1, "x"), (1, None, 2, "y"), (2, "", 3, "z")], "doc_id long, text string, found int, spans string")
+    rows.write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    got = sorted((str(r.doc_id), r.n_email, r.spans) for r in pii.op5_pii(spark, str(tmp_path / "a")).collect())
+    assert got == [("1", 0, ""), ("2", 0, ""), ("None", 1, "email:0:6"), ("None", 1, "email:0:6")]
+    assert sorted(str(r.text) for r in pii.redact(rows).collect()) == ["", "None", "[email]", "[email]"] and pii.redact(rows).columns == rows.columns
+    rows.limit(0).write.parquet(str(tmp_path / "b" / "documents.parquet"))
+    assert pii.op5_pii(spark, str(tmp_path / "b")).count() == 0 and pii.redact(rows.limit(0)).count() == 0
+
+
 def test_pii_query(spark, tmp_path):
     rows = [(i, t) for i, t in enumerate(TEXTS * 30)] + [(9999, None)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
@@ -244,10 +307,11 @@ def test_language(spark):
     say = {"de": "der und nicht ist die ungeheuer schön größer", "en": "the and not is that heather thing", "fr": "le et ne pas est élève garçon"}
     rng = np.random.default_rng(0)
     rows = [(i, " ".join(rng.choice(say[k].split(), 12)), k) for i in range(400) for k in [list(say)[i % 3]]]
-    d = spark.createDataFrame(rows + [(1000, None, "en"), (1001, "123 !", "en"), (1002, "der und ist", None), (None, "the thing", "en")], "doc_id long, text string, lang string").selectExpr("*", "0 as score")
+    d = spark.createDataFrame(rows + [(1000, None, "en"), (1001, "123 !", "en"), (1003, "½ ② ①", "en"), (1004, "der und nicht " * 40000, "fr"), (1002, "der und ist", None), (None, "the thing", "en")], "doc_id long, text string, lang string").selectExpr("*", "0 as score")
     m = language_id.fit(d.where(~language_id.held_out()))
     got = {r.doc_id: r for r in language_id.predict(d, m).collect()}
     assert all(got[i].lang_pred == k for i, _, k in rows)
+    assert got[1000].lang_pred == got[1001].lang_pred == got[1003].lang_pred == "und" and got[1004].lang_pred == "de"
     assert got[1000].lang_pred == got[1001].lang_pred == "und" and got[1002].lang_pred == "de" and got[None].lang_pred == "en"
     assert all(0 <= r.score <= 1 for r in got.values())
     none = language_id.fit(d.where("doc_id = 1000"))
@@ -255,6 +319,35 @@ def test_language(spark):
     assert language_id.predict(d.limit(0), m).count() == 0
 
 
+def test_kernel_ridge():
+    """Scores equal those of ridge regression on exact kernels with all training texts as landmarks."""
+    rng = np.random.default_rng(2)
+    pools = ["der und nicht ist die schön größer".split(), "the and not is that heather thing".split(), "le et ne pas est élève garçon".split()]
+    texts = [" ".join(rng.choice(pools[i % 3], 10)) for i in range(45)]
+    labels = [("de", "en", "fr")[i % 3] for i in range(45)]
+
+    def grams(t):
+        t = " " + re.sub(r"[\W\d_]+", " ", t.lower()).strip() + " "
+        return [{t[i : i + n] for i in range(len(t) - n + 1)} for n in (1, 2, 3, 4)]
+
+    sets = [grams(t) for t in texts]
+    k = np.array([[sum(len(a & b) / math.sqrt(len(a) * len(b)) for a, b in zip(x, y)) / 4 for y in sets] for x in sets])
+    own = language_id.train([language_id.bits(t) for t in texts], labels, landmarks=45)
+    land = [i for n in own.labels for i in range(45) if labels[i] == n]  # landmarks come by label
+    assert np.abs(own.kernels([language_id.bits(t) for t in texts]) - k[:, land]).max() < 0.02  # n-grams may share a feature
+    h = np.eye(45) - 1 / 45
+    y = np.array([[1.0 if a == b else -1.0 for b in own.labels] for a in labels])
+    alpha = np.linalg.solve(h @ k @ h + 45 * language_id.RIDGE * np.eye(45), h @ y)
+    want = h @ k @ h @ alpha + y.mean(axis=0)
+    assert np.abs(own.scores(texts) - want).max() < 0.05
+
+
+def test_language_of_held_out_documents(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = [r for r in language_id.op6_language_id(spark, "/root/testdata/sf0.01").join(d.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred != 'und'").collect()]
+    assert len(got) > 100 and sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got)
+
+
 # -- language model ------------------------------------------------------------------------------------
 
 

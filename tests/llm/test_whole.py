@@ -38,6 +38,39 @@ def test_large_group_of_loose_copies(spark):
     assert sorted(tuple(r) for r in got) == list(enumerate(label.tolist()))
 
 
+def test_pairs_inside_a_template(spark):
+    """Every pair that reaches 0.75 within a crowd of texts that do not."""
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(240)]
+    rows = []
+    for p in range(200):
+        places = rng.choice(240, 4, replace=False)
+        both = list(base)
+        for k in places[:1]:
+            both[k] = f"p{p}_{k}"
+        for side in range(2):
+            own = list(both)
+            for k in rng.choice(240, 3, replace=False):
+                own[k] = f"e{rng.integers(10**9)}"
+            rows.append((2 * p + side, " ".join(own)))
+    sets = [set(shingle_set(t).tolist()) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).select("doc_id", "component_id").collect()
+    assert sorted(tuple(r) for r in got) == [(i, find(i)) for i in range(len(rows))]
+
+
 @pytest.mark.parametrize("size,at,more", [(90, 45, 8), (90, 30, 8), (99, 50, 12), (96, 40, 10)])
 def test_passage_with_a_changed_clause(size, at, more):
     """Words put in between take a passage apart, but leave it at 0.75."""
