@@ -6,9 +6,10 @@ merged so that the largest window of one meets the smallest of the other, until
 one partition into ``k`` near-equal windows is left. ``k`` starts at the least
 count that could hold the tokens and rises whenever a window exceeds capacity.
 
-Groups hold about ``group_docs`` documents picked by a hash, whatever their
-source, so a hot source spreads over all groups and no task sees an unbounded
-number of pieces. Only piece lengths (and, on request, token ids) are shuffled.
+Pieces, not documents, are dealt into groups by a hash, whatever their source, so
+a hot source spreads over all groups and the pieces of a very long document do
+too; the number of groups follows the bytes of text, so a group's tokens are
+bounded. Only piece lengths (and, on request, token ids) are shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from __future__ import annotations
 import heapq
 import os
 import re
-import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -33,7 +33,8 @@ END_ID = 1
 PIECE = 512
 #: One document in ``FINE_EVERY`` is cut to pieces of at most this length; they level the windows at the end.
 FINE, FINE_EVERY = 64, 8
-GROUP_DOCS = 1024
+#: Bytes of text whose pieces make a group.
+GROUP_BYTES = 2_000_000
 
 
 def default_vocabulary() -> str:
@@ -90,7 +91,7 @@ class Ids:
         return self.whole.encode(probe, add_special_tokens=False).ids == [i for w in probe.split() for i in self.whole.encode(w, add_special_tokens=False).ids]
 
     def _ask(self, word: str) -> bytes:
-        if self.simple and word.isalpha() and word == word.lower():
+        if self.simple and _LATIN.fullmatch(word):
             ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES))]
         else:
             ids = self.whole.encode(word, add_special_tokens=False).ids
@@ -103,8 +104,9 @@ class Ids:
             return np.zeros(0, dtype=np.uint32)
         if not self.simple:
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        if text.isascii() or unicodedata.is_normalized("NFC", text):
-            text = text.replace("Σ", "σ").lower() if "Σ" in text else text.lower()
+        # below U+0300 nothing composes, so lower case may come before the tokenizer's own normaliser
+        if text.isascii() or _HIGH.search(text) is None:
+            text = text.lower()
         parts = map(self.cache.__getitem__, _split_marks(text))
         return np.frombuffer(b"".join(parts), dtype=self.kind).astype(np.uint32)
 
@@ -121,9 +123,13 @@ def _split_marks(text: str) -> list[str]:
     return [w for w in text.split(" ") if w]
 
 
-#: A mark whose neighbour on the left may belong to the same pre-token.
-_RUN = re.compile(r"[^\w ][.,][ \n]")
-_MARK = re.compile(r"(?<=[^\W\d_])([.,])(?=[ \n]|$)")
+_HIGH = re.compile("[\u0300-\U0010ffff]")
+#: Lower-case Latin letters, which are letters by any version of Unicode.
+_LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: A mark that may belong to the same pre-token as what is before it: words are cut before a mark
+#: only after a digit or a Latin letter, which no pre-token unites with a mark.
+_RUN = re.compile("[^0-9a-z\u00df-\u00f6\u00f8-\u00ff ][.,][ \n]")
+_MARK = re.compile(r"(?<=[0-9a-z\u00df-\u00f6\u00f8-\u00ff])([.,])(?=[ \n])")
 #: The byte-level alphabet: printable Latin-1 stands for itself, the other bytes for code points from 256 on.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: b for b in _PLAIN} | {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PLAIN)}
@@ -254,7 +260,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, piece: in
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, ddl)
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, piece: int = PIECE, group_docs: int = GROUP_DOCS, payload=None, n_docs: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, piece: int = PIECE, group_bytes: int = GROUP_BYTES, payload=None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces with the window that holds them: ``sequence_id`` and ``offset``.
 
     Null text counts as empty; every document ends with ``END_ID``, so an empty
@@ -264,9 +270,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     depend on ids and contents alone.
     """
     vocabulary = vocabulary or default_vocabulary()
-    if n_docs is None:
-        n_docs = docs.count()
-    n_groups = max(1, -(-n_docs // group_docs))
+    size = docs.agg(F.sum(F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long") + 1)).first()[0] or 0
+    n_groups = max(1, -(-size // group_bytes))
     cut = pieces(docs, vocabulary, capacity, piece, payload, doc_id, text)
     extra = cut.schema[-1]
 
@@ -289,7 +294,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
         pdf["sequence_id"], pdf["offset"] = seq, off
         return pdf[["doc_id", "start", "length", extra.name, "doc_tokens", "sequence_id", "offset"]]
 
-    grouped = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(n_groups)))
+    grouped = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "tie", "start"), F.lit(n_groups)))
     ddl = f"doc_id long, start long, length long, {extra.name} {extra.dataType.simpleString()}, doc_tokens long, sequence_id long, offset long"
     return grouped.groupBy("grp").applyInPandas(assign, ddl)
 
