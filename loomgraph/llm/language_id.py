@@ -4,19 +4,19 @@ The kernel of two texts is the cosine of their sets of character n-grams (n = 1
 to 4, presence only, each n with equal weight). Landmark texts span the feature
 space (Nystroem): a text is represented by its kernels with the landmarks,
 whitened by the landmarks' own kernel matrix, and a one-versus-rest kernel ridge
-regression gives a score for each language. As this kernel is an inner product
-of hashed presence vectors, the landmark matrix, the whitening and the ridge
-weights multiply out to one matrix of a column for each language, and texts are
-scored in batches by a product with it.
+regression gives a score for each language. Texts are scored in batches by two
+matrix products: presence vectors with those of the landmarks, which gives the
+kernels, and kernels with the regression's weights.
 
 Training texts are a sample of labelled rows picked by a hash, of about
-``PER_LABEL`` rows a language and ``SAMPLE`` in all: that is the documented
-bound of what reaches the driver. Scoring reads every whole text.
+``PER_LABEL`` rows a language and ``SAMPLE`` in all. What reaches the driver are
+their presence vectors as bits, 8 KB each whatever the text's length. The model
+that is broadcast is ``LANDMARKS`` such vectors and a weight for each landmark
+and language. Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +29,10 @@ from loomgraph.llm._shared import crc_mod, documents
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 14
 PER_LABEL, SAMPLE = 600, 6000
-LANDMARKS = 400
+LANDMARKS = 200
 RIDGE = 1e-3
-LETTER = re.compile(r"[^\W\d_]")
+#: Texts in one matrix product.
+BATCH = 64
 UNKNOWN = "und"
 
 _MUL = np.uint32(0x9E3779B1)
@@ -62,44 +63,59 @@ def presence(text: str) -> list[np.ndarray]:
     return out
 
 
-def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Features and weights of the text's unit vector."""
-    parts = presence(text)
-    full = [p for p in parts if len(p)]
-    w = [np.full(len(p), (len(full) * len(p)) ** -0.5) for p in full]
-    return np.concatenate(full), np.concatenate(w)
+DIM = len(ORDERS) * BUCKETS
+
+
+def bits(text: str) -> bytes:
+    """The presence vector, a bit for each feature."""
+    mark = np.zeros(DIM, bool)
+    for p in presence(text):
+        mark[p] = True
+    return np.packbits(mark).tobytes()
+
+
+def matrix(packed: list[bytes]) -> np.ndarray:
+    """Unit vectors as rows: orders with any n-gram weigh the same."""
+    x = np.unpackbits(np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1), axis=1)
+    x = x.reshape(len(packed), len(ORDERS), BUCKETS).astype(np.float32)
+    n = x.sum(axis=2, keepdims=True)
+    full = (n > 0).sum(axis=1, keepdims=True)
+    x /= np.sqrt(np.maximum(n * full, 1))
+    return x.reshape(len(packed), DIM)
 
 
 class Model:
-    """Labels and the matrix that maps presence vectors to one score for each label."""
+    """Labels, presence vectors of the landmarks, and a weight for each landmark and label."""
+
+    def __init__(self, labels: list[str], landmarks: list[bytes], weights: np.ndarray, bias: np.ndarray):
+        self.labels, self.landmarks, self.weights, self.bias = labels, landmarks, weights, bias
+        self.columns: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"columns": None}  # made anew where it is used
 
-    def __init__(self, labels: list[str], weights: np.ndarray, bias: np.ndarray):
-        self.labels, self.weights, self.bias = labels, weights, bias
+    def kernels(self, packed: list[bytes]) -> np.ndarray:
+        """Kernel of each text with each landmark, in batches."""
+        if self.columns is None:
+            self.columns = np.ascontiguousarray(matrix(self.landmarks).T)
+        return np.concatenate([matrix(packed[at : at + BATCH]) @ self.columns for at in range(0, len(packed), BATCH)])
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        """One row for each text: batched product of presence vectors and weights."""
-        out = np.empty((len(texts), len(self.labels)))
-        for i, t in enumerate(texts):
-            at, w = vector(t)
-            out[i] = w @ self.weights[at]
-        return out + self.bias
+        """One row for each text, one column for each label; regression targets are -1 and 1."""
+        return self.kernels([bits(t) for t in texts]).astype(float) @ self.weights + self.bias
 
 
-def train(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE, seed: int = 5) -> Model:
-    """Kernel ridge regression on Nystroem features of ``landmarks`` texts."""
+def train(packed: list[bytes], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE, seed: int = 5) -> Model:
+    """Kernel ridge regression on Nystroem features of ``landmarks`` presence vectors."""
     names = sorted(set(labels))
-    dim = len(ORDERS) * BUCKETS
     if not names:
-        return Model([], np.zeros((dim, 0)), np.zeros(0))
-    vecs = [vector(t) for t in texts]
+        return Model([], [], np.zeros((0, 0)), np.zeros(0))
     rng = np.random.default_rng(seed)
     by = {n: [i for i, y in enumerate(labels) if y == n] for n in names}
     share = max(1, landmarks // len(names))
     chosen = [i for n in names for i in sorted(rng.permutation(by[n])[:share].tolist())]
-    land = np.zeros((dim, len(chosen)), np.float32)
-    for j, i in enumerate(chosen):
-        land[vecs[i][0], j] = vecs[i][1]
-    k_nm = np.stack([w.astype(np.float32) @ land[at] for at, w in vecs]).astype(float)
+    model = Model(names, [packed[i] for i in chosen], np.zeros((len(chosen), len(names))), np.zeros(len(names)))
+    k_nm = model.kernels(packed).astype(float)
     k_mm = k_nm[chosen]
     val, vec = np.linalg.eigh((k_mm + k_mm.T) / 2)
     good = val > 1e-6 * val[-1]
@@ -112,38 +128,59 @@ def train(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge
     mean_x, mean_y = (weight * phi).mean(axis=0), (weight * y).mean(axis=0)
     px, py = phi - mean_x, y - mean_y
     beta = np.linalg.solve(px.T @ (weight * px) / len(phi) + ridge * np.eye(px.shape[1]), px.T @ (weight * py) / len(phi))
-    return Model(names, land.astype(float) @ (white @ beta), mean_y - mean_x @ beta)
+    model.weights, model.bias = white @ beta, mean_y - mean_x @ beta
+    return model
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether some character is a letter as ``str.isalpha`` has it."""
+    return bool(text) and any(map(str.isalpha, text))
+
+
+def _sampled(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for big in it:
+        for at in range(0, big.num_rows, 100):
+            b = big.slice(at, 100)
+            rows = [(bits(t), y, o) for t, y, o in zip(*(b.column(i).to_pylist() for i in range(3))) if has_letter(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.binary(), pa.string(), pa.int64()))], names=["x", "y", "o"])
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", per_label: int = PER_LABEL, sample: int = SAMPLE) -> Model:
     """A model of a bounded sample of the rows with a label and a letter.
 
     Labels are counted over all rows first. Should there be so many that
-    ``sample`` rows cannot hold ``per_label`` of each, all get fewer.
+    ``sample`` rows cannot hold ``per_label`` of each, all get fewer; with more
+    labels than ``sample`` a ValueError asks for a larger one.
     """
     rows = docs.where(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("y"))
-    counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "y").limit(sample).collect()}
+    counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).limit(sample + 1).collect()}
+    if len(counts) > sample:
+        raise ValueError(f"more than {sample} labels: raise sample")
     if not counts:
         return train([], [])
     each = max(1, min(per_label, sample // len(counts)))
     u = F.pmod(F.xxhash64(F.lit("sample"), "k", F.length("t")), F.lit(1_000_000)) / 1_000_000.0
-    rate = F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, min(1.0, 1.5 * each / n + 20 / n))])
+    rate = F.create_map(*[F.lit(x) for y, n in sorted(counts.items()) for x in (y, min(1.0, 1.5 * each / n + 20 / n))])
     picked = rows.where(u < F.element_at(rate, F.col("y"))).select("t", "y", F.xxhash64("k", "t").alias("o")).limit(2 * sample + 40 * len(counts))
-    got = sorted(((r.o, r.t, r.y) for r in picked.collect()), key=lambda r: (r[2], r[0]))
+    got = sorted(((r.o, r.x, r.y) for r in picked.mapInArrow(_sampled, "x binary, y string, o long").collect()), key=lambda r: (r[2], r[0]))
     taken: dict[str, int] = {}
-    texts, labels = [], []
-    for _, t, y in got:
+    packed, labels = [], []
+    for _, x, y in got:
         if taken.get(y, 0) < each:
             taken[y] = taken.get(y, 0) + 1
-            texts.append(t)
+            packed.append(bytes(x))
             labels.append(y)
-    return train(texts, labels)
+    return train(packed, labels)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``: ``und`` and 0 without text, letter or learned label."""
+    """``docs`` with ``lang_pred`` and ``score``: ``und`` and 0 without text, letter or learned label.
+
+    Clashing columns of ``docs`` give way; all others stay as they are. Texts of
+    any length become one vector of fixed size.
+    """
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(model)  # of bounded size: BUCKETS * orders * labels
+    held = spark.sparkContext.broadcast(model)  # of bounded size: LANDMARKS vectors of 8 KB (one a label at least) and their weights
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     src = docs.select(*kept, F.col(text).cast("string").alias("_loom_text"))
 
@@ -153,7 +190,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             for at in range(0, big.num_rows, 500):
                 b = big.slice(at, 500)
                 texts = b.column(b.num_columns - 1).to_pylist()
-                ask = [i for i, t in enumerate(texts) if t and m.labels and LETTER.search(t)]
+                ask = [i for i, t in enumerate(texts) if m.labels and has_letter(t)]
                 lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
                 if ask:
                     s = m.scores([texts[i] for i in ask])
