@@ -8,10 +8,13 @@ exact cosine in double precision, in blocks of matrix products. For a cosine of
 the very threshold is missed with probability 1.2e-3, one at 0.97 with 2e-6.
 
 Equal vectors form one class first and are compared once, with their number as
-weight. A crowded bucket is split into blocks of ``BLOCK`` vectors and each pair
-of blocks is a group of its own, so no task sees more than two blocks. A pair
-counts only in the first table whose bucket it shares. Blocks return counts and
-the links of a spanning forest, never their pairs.
+weight. A bucket with the same members as one of an earlier table adds nothing
+and is left out, so near copies of one vector, which share most tables, are
+moved about once. A crowded bucket is split into blocks of ``BLOCK`` vectors and
+each pair of blocks is a group of its own, so no task sees more than two blocks.
+A pair counts only in the first table whose bucket it shares, which is told from
+the bucket numbers of the two vectors, computed again where they are met. Blocks
+return counts and the links of a spanning forest, never their pairs.
 """
 
 from __future__ import annotations
@@ -40,7 +43,8 @@ def buckets(x: np.ndarray) -> np.ndarray:
     """Bucket of each row of unit vectors in each table, as 64-bit hashes."""
     a, b = _cached(x.shape[1])
     q = np.floor((x @ a + b) / WIDTH).astype(np.int64).astype(np.uint64).reshape(len(x), TABLES, PROJECTIONS)
-    h = np.zeros((len(x), TABLES), np.uint64) + np.arange(TABLES, dtype=np.uint64)
+    # vectors of different lengths share no bucket
+    h = mix(np.zeros((len(x), TABLES), np.uint64) + np.arange(TABLES, dtype=np.uint64) + np.uint64(x.shape[1] << 20))
     for i in range(PROJECTIONS):
         h = mix(h * np.uint64(0x9E3779B97F4A7C15) + q[:, :, i])
     return h
@@ -100,16 +104,13 @@ def _compare(cosine: float):
             if g.num_rows < 2:
                 continue
             t, bi, bj = (g.column(i)[0].as_py() for i in (1, 2, 3))
-            own = g.column("blk").to_numpy()
+            blk = g.column("blk").to_numpy()
             c = g.column("cls").to_numpy()
             w = g.column("copies").to_numpy()
             units = g.column("unit").to_pylist()
-            if len({len(u) for u in units}) > 1:
-                continue  # vectors of different lengths are never alike; equal hashes of theirs are chance
             x = np.frombuffer(b"".join(units), float).reshape(len(c), -1)
-            keys = np.array(g.column("keys").to_pylist(), np.int64)
-            left = np.flatnonzero(own == bi)
-            right = np.flatnonzero(own == bj)
+            left = np.flatnonzero(blk == bi)
+            right = np.flatnonzero(blk == bj)
             hit = x[left] @ x[right].T >= cosine
             if bi == bj:
                 hit = np.triu(hit, 1)
@@ -118,11 +119,14 @@ def _compare(cosine: float):
                 continue
             i, j = left[i], right[j]
             if t:
+                own, at = np.unique(np.concatenate((i, j)), return_inverse=True)
+                keys = buckets(x[own])[:, :t]
+                i, j = at[: len(i)], at[len(i) :]
                 fresh = np.ones(len(i), bool)
                 for at in range(0, len(i), 4096):
                     s = slice(at, at + 4096)
-                    fresh[s] = ~(keys[i[s], :t] == keys[j[s], :t]).any(axis=1)
-                i, j = i[fresh], j[fresh]
+                    fresh[s] = ~(keys[i[s]] == keys[j[s]]).any(axis=1)
+                i, j = own[i[fresh]], own[j[fresh]]
                 if not len(i):
                     continue
             n = np.bincount(i, w[j], len(c)) + np.bincount(j, w[i], len(c))
@@ -160,13 +164,15 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     one = feats.join(classes, "cls").where(F.col("vec_id").eqNullSafe(F.col("rep"))).select("cls", "unit", "keys", "copies").dropDuplicates(["cls"])
     one = stash.put(one, "vectors")
     rows = one.select("cls", F.posexplode("keys").alias("t", "bucket"))
-    crowds = rows.groupBy("bucket", "t").agg(F.count("*").alias("n")).where("n > 1")
+    crowds = rows.groupBy("bucket", "t").agg(F.count("*").alias("n"), *(F.sum(F.xxhash64(F.lit(i), "cls").cast("decimal(38,0)")).alias(f"s{i}") for i in (1, 2))).where("n > 1")
+    # buckets with the same members: the one of the first table stands for all
+    crowds = crowds.groupBy("n", "s1", "s2").agg(F.min(F.struct("t", "bucket")).alias("m")).select("m.bucket", "m.t", "n")
     rows = rows.join(crowds, ["bucket", "t"])
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = rows.withColumn("nb", n_blocks).withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
     other = F.explode(F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: F.struct(F.least(o, F.col("blk")).alias("bi"), F.greatest(o, F.col("blk")).alias("bj"))))
     rows = rows.select("bucket", F.col("t").cast("int").alias("t"), "cls", "blk", other.alias("p"))
-    rows = rows.join(one, "cls").select("bucket", "t", "p.bi", "p.bj", "blk", "cls", "copies", "unit", "keys")
+    rows = rows.join(one.select("cls", "copies", "unit"), "cls").select("bucket", "t", "p.bi", "p.bj", "blk", "cls", "copies", "unit")
     rows = rows.repartition(partitions(spark), "bucket", "t", "bi", "bj").sortWithinPartitions("bucket", "t", "bi", "bj", "cls")
     found = stash.put(rows.mapInArrow(_compare(cosine), "cls long, links long, to long"), "found")
     joined = components(stash, found.select(F.col("cls").alias("a"), F.col("to").alias("b")))
@@ -175,6 +181,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     label = named.join(smallest, "component").join(links, "cls", "left")
     label = stash.put(label.select("cls", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "labels")
+    stash.keep(feats, label)
     out = feats.select("vec_id", "cls").join(label, "cls", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
