@@ -42,12 +42,20 @@ EXTRA = (("phone", NATIONAL, 0), ("ssn", SOCIAL, 0), ("iban", ACCOUNT, 0), ("sec
 ALL_KINDS = (*KINDS, "ssn", "iban", "secret", "name")
 
 # Gazetteers and context words: fixed values.
-TOP_DOMAINS = frozenset("com org net edu gov io de fr es uk eu info".split())
+TOP_DOMAINS = frozenset("com org net edu gov mil int io ai app dev info biz name de fr es it nl be at ch uk ie pt pl cz se no dk fi gr eu us ca mx br ar cl co au nz jp cn in kr za ru tr test example".split())
 RESERVED_NET = ("0.", "127.", "255.")
 CARD_PREFIX = ("34", "37", "4", "51", "52", "53", "54", "55", "6011", "65", "35", "36", "38")
 COUNTRY_CODES = ("1", "33", "34", "49", "44", "39", "31", "41", "43", "52", "54")
 COUNTRIES = frozenset("DE FR ES GB IT NL BE AT CH PT IE LU PL".split())
-GIVEN_NAMES = frozenset("anna maria john james peter paul marie pierre jean hans klaus juan jose carlos luis emma laura david michael".split())
+GIVEN_NAMES = frozenset(
+    "adam alejandro alice ana andrea andreas andrew angela anna anne anthony antoine antonio barbara beatriz ben bernd camille carla carlos carmen "
+    "catherine charles charlotte chloe christian christine christopher claire clara claudia daniel david diego dieter elena elizabeth emily emma eric "
+    "ernst eva fabian felix fernando francisco francois frank franz frieda gabriel george gerhard hannah hans heinrich helen helga helmut henri ines "
+    "isabel jack jacques james jan javier jean jennifer jessica joan johanna john jorge jose joseph juan julia julie jurgen karen karl katharina klaus "
+    "laura leon lisa louis louise lucas lucia luis luise luke manuel marc maria marie mark marta martin mary matthew max michael michel miguel monika "
+    "nicolas olivia oscar pablo patricia paul paula pedro peter petra philippe pierre rafael ramon richard robert rosa ruth samuel sandra sara sarah "
+    "sebastian sergio simon sofia sophie stefan stephan susan sylvie teresa theo thomas ursula victor walter werner william wolfgang yves".split()
+)
 CONTEXT = {
     "email": "mail email e-mail contact write @ courriel correo".split(),
     "ip": "ip address server host addr from adresse".split(),
@@ -77,23 +85,37 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
-_MAIL_LEFT = re.compile(r"[A-Za-z0-9._%+@-]*\Z")
-_MAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
-    """Matches of EMAIL, looked for only in runs of its characters around an @."""
-    at = text.find("@")
+    """Matches of EMAIL in one pass: from each @ to the left over the local part, to the right over the host."""
+    done, at = 0, text.find("@")
     while at >= 0:
-        lo = hi = at
-        while lo > 0 and text[lo - 1] in _MAIL_CHARS:
+        lo = at
+        while lo > done and text[lo - 1] in _LOCAL:
             lo -= 1
-        n = len(text)
-        while hi < n and text[hi] in _MAIL_CHARS:
-            hi += 1
-        for m in EMAIL.finditer(text, lo, hi):
-            yield m.span()
-        at = text.find("@", hi)
+        host = _HOST.match(text, at + 1) if lo < at else None
+        if host:
+            yield lo, host.end()
+        # what is left of an @ is no part of a later match, and the first one takes its whole host
+        done = host.end() if host else at + 1
+        at = text.find("@", done)
+
+
+_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+_NUMBER = re.compile(r"[0-9]+")
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Matches of IP in one pass, with their parts: each four numbers of a dotted chain."""
+    for chain in _CHAIN.finditer(text):
+        if text.find(".", chain.start(), chain.end()) < 0:
+            continue
+        spots = [m.span() for m in _NUMBER.finditer(text, *chain.span())]
+        for i in range(0, len(spots) - 3, 4):
+            yield spots[i][0], spots[i + 3][1], [text[a:b] for a, b in spots[i : i + 4]]
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -101,9 +123,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     out = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         if "." in text:
-            for m in IP.finditer(text):
-                if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
-                    out.append((m.start(), 1, m.end()))
+            for a, b, parts in _addresses(text):
+                if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in parts):
+                    out.append((a, 1, b))
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 12:
                 d = _digits(m.group())
@@ -240,7 +262,8 @@ def train(counts: dict[tuple[str, int], int], ridge: float = 1.0, rounds: int =
         post = reliabilities(votes_only)
         x = np.stack([decode(p) for p in own])
         y = np.array([post[p >> 4 << 4] for p in own])
-        n = np.minimum(np.array(list(own.values()), float), 1e6)
+        n = np.array(list(own.values()), float)
+        n *= min(1.0, 1e6 / n.sum())  # counts keep their proportions whatever the corpus
         w = np.zeros(FEATURES)
         for _ in range(rounds):  # Newton steps
             q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -307,8 +330,9 @@ def _digest(found: list[dict], model: dict[str, np.ndarray]) -> tuple[list[int],
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all whole documents: base counts and digest, and all spans.
 
-    Null and empty texts have none. Rows that repeat get the same answer. An
-    empty table gives no rows.
+    Null and empty texts have none. Rows that repeat get the same answer, a null
+    doc_id stays null, and other columns are ignored. Texts are scanned in time
+    linear in their length. An empty table gives no rows.
     """
     found, model = detect(Stash(spark, "pii"), documents(spark, sf_dir), ["doc_id"])
 
