@@ -30,15 +30,21 @@ SHINGLE_WORDS = 5
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only if unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``, or the one the session checkpoints to.
+
+    Where neither is set, a session in one local process gets a temporary one; on a
+    cluster no folder of one machine would do, and an error says so.
+    """
+    sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    have = sc._jsc.sc().getCheckpointDir()
+    if not folder and have.isDefined():
+        folder = have.get()
     if not folder:
-        have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if have.isDefined():
-            folder = have.get()
-        else:
-            folder = tempfile.mkdtemp(prefix="loom-shared-")
-            spark.sparkContext.setCheckpointDir(folder)
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="loom-shared-")
+        sc.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
@@ -57,6 +63,7 @@ class Stash:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
+        self.tables: list[DataFrame] = []
 
     def put(self, df: DataFrame, tag: str) -> DataFrame:
         self.n += 1
@@ -72,14 +79,22 @@ class Stash:
                 self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._loom_path = path
+        self.tables.append(out)
         return out
 
+    def keep(self, *tables: DataFrame) -> None:
+        """Remove all tables but these, which a result still reads."""
+        paths = {t._loom_path for t in tables}
+        self.drop(*[t for t in self.tables if t._loom_path not in paths])
+
     def drop(self, *tables: DataFrame) -> None:
         """Remove tables that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm
         for t in tables:
             path = jvm.org.apache.hadoop.fs.Path(t._loom_path)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gone = {t._loom_path for t in tables}
+        self.tables = [t for t in self.tables if t._loom_path not in gone]
 
 
 def partitions(spark: SparkSession) -> int:

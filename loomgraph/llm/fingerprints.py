@@ -115,55 +115,76 @@ def _walk(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(rows, SCHEMA)], schema=SCHEMA)
 
 
+def _least(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least key of a partition."""
+    best = None
+    for b in it:
+        if b.num_rows:
+            cols = [b.column(i).to_numpy() for i in range(3)]
+            i = np.lexsort(cols[::-1])[0]
+            key = tuple(int(c[i]) for c in cols)
+            best = key if best is None else min(best, key)
+    if best is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in best], names=list(KEY))
+
+
+#: Columns of the order: null ids last, ids descending, ties by a hash of the text.
+KEY = ("k0", "k1", "k2")
+
+
+def _range_of(starts: list[tuple]) -> tuple:
+    """Number of the range that a row's key is in, by bisection, and whether it is the range's first key."""
+    # each column of the starts is one literal, whatever their number
+    cols = [F.split(F.lit(",".join(str(s[i]) for s in starts)), ",").cast("array<bigint>") for i in range(3)]
+
+    def first(at):
+        return [F.get(c, at) for c in cols]
+
+    def step(acc, _):
+        mid = F.shiftright(acc["lo"] + acc["hi"] + 1, 1)
+        a, b, c = first(mid)
+        k0, k1, k2 = (F.col(k) for k in KEY)
+        reached = (a < k0) | ((a == k0) & ((b < k1) | ((b == k1) & (c <= k2))))
+        return F.struct(F.when(reached, mid).otherwise(acc["lo"]).alias("lo"), F.when(reached, acc["hi"]).otherwise(mid - 1).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(starts) - 1).alias("hi"))
+    number = F.aggregate(F.sequence(F.lit(1), F.lit(len(starts).bit_length())), start, step)["lo"]
+    is_first = [F.col(k) == x for k, x in zip(KEY, first(F.col("bucket")))]
+    return number, is_first[0] & is_first[1] & is_first[2]
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_buckets: int | None = None) -> DataFrame:
     """A row for each row of ``docs`` with the columns of ``SCHEMA``.
 
-    The next document is the one before in descending doc_id, ties by text; a
-    null doc_id comes after all others; after the last comes the first, so that
-    a single document follows itself. Null text counts as empty. Rows that
-    repeat one another follow each other. Other columns are ignored. An empty
-    table gives no rows.
+    The next document is the one before in descending doc_id, ties by xxhash64
+    of the text; a null doc_id comes after all others; after the last comes the
+    first, so that a single document follows itself. Null text counts as empty.
+    Rows that repeat one another follow each other. Other columns are ignored.
+    An empty table gives no rows.
 
-    Buckets are ranges of doc_id. The first row of each bucket, of which there
-    are as many as buckets, is also sent to the bucket before it (its halo), so
-    neighbours meet although no task sees more than one bucket.
+    Documents are dealt into even ranges of this order, one a task, whatever
+    ids are null or repeated. The first row of each range is also sent to the
+    range before it (its halo), so neighbours meet although no task sees more
+    than one range. Only the first key of each range reaches the driver.
     """
     spark = docs.sparkSession
     n_buckets = n_buckets or partitions(spark)
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    # bounds by approximate quantiles: a bounded number of them
-    cut = d.select("doc_id").agg(F.percentile_approx("doc_id", [i / n_buckets for i in range(1, n_buckets)] or [0.5], 10000)).first()[0]
-    bounds = sorted(set(cut or []))
-    # bucket 0 holds the largest ids; nulls get a bucket of their own at the end
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(F.lit(len(bounds)) - _below(F.col("doc_id"), bounds))
-    d = d.withColumn("bucket", bucket)
-    heads = {r.bucket: r.top for r in d.groupBy("bucket").agg(F.max("doc_id").alias("top")).collect()}  # one row a bucket
-    if not heads:
+    own, t = F.col(doc_id).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit(""))
+    key = [F.when(own.isNull(), 1).otherwise(0).cast("long").alias("k0"), F.coalesce(F.bitwise_not(own), F.lit(0)).alias("k1"), F.xxhash64(t).alias("k2")]
+    d = docs.select(own.alias("doc_id"), t.alias("text"), *key)
+    starts = sorted(tuple(r) for r in d.select(*KEY).repartitionByRange(n_buckets, *KEY).mapInArrow(_least, "k0 long, k1 long, k2 long").collect())
+    if not starts:
         return spark.createDataFrame([], "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
-    filled = sorted(heads)
-    previous = {b: filled[i - 1] for i, b in enumerate(filled)}
-    tops = [heads[b] for b in filled if heads[b] is not None]
-    first = d.where(F.col("doc_id").isin(tops) | F.col("doc_id").isNull()) if None in heads.values() else d.where(F.col("doc_id").isin(tops))
-    first = first.groupBy("bucket").agg(F.max("doc_id").alias("doc_id"), F.min("text").alias("text"))
-    to = F.create_map(*[F.lit(x) for b in filled for x in (b, previous[b])])
-    halo = first.select(F.element_at(to, F.col("bucket")).alias("bucket"), F.lit(True).alias("halo"), "doc_id", "text")
-    rows = d.select("bucket", F.lit(False).alias("halo"), "doc_id", "text").unionByName(halo)
-    rows = rows.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "halo", F.desc_nulls_last("doc_id"), "text")
+    number, is_first = _range_of(starts)
+    d = d.withColumn("bucket", number)
+    place = lambda at, halo: F.struct(at.cast("int").alias("bucket"), F.lit(halo).alias("halo"))
+    here = place(F.col("bucket"), False)
+    places = F.when(is_first, F.array(here, place(F.pmod(F.col("bucket") - 1, F.lit(len(starts))), True))).otherwise(F.array(here))
+    rows = d.select("doc_id", "text", *KEY, F.explode(places).alias("p")).select("p.bucket", "p.halo", "doc_id", "text", *KEY)
+    rows = rows.repartitionById(len(starts), "bucket").sortWithinPartitions("bucket", "halo", *KEY, "text").select("bucket", "halo", "doc_id", "text")
     return rows.mapInArrow(_walk, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
-def _below(x, bounds: list[int]):
-    """How many bounds are less than ``x``, by bisection in the plan."""
-
-    def tree(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x > F.lit(bounds[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return tree(0, len(bounds))
-
-
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all whole texts and of their edited texts."""
     return fingerprints(documents(spark, sf_dir))
