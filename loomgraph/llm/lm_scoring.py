@@ -1,21 +1,27 @@
-"""Operator 8: language-model scores from a weighted backoff automaton.
-
-States of the automaton are the word contexts seen in training (and the empty
-one); an arc for each bigram seen carries its smoothed probability, and from
-every context a failure arc leads to the empty state, whose arcs are the
-smoothed unigrams. A text is scored in one traversal from left to right: follow
-the arc of the next token or else pay the weight of the failure arc, move on to
-the state of that token, and add up log10 probabilities. Smoothing is by a
-Dirichlet prior: p(x|w) = (c(w,x) + mu p(x)) / (c(w) + mu), so the failure arc
-of w weighs mu / (c(w) + mu). The strength mu is the one of ``STRENGTHS`` under
-which training tokens, each left out of its own counts, are most likely.
-
-The automaton grows with the corpus and is never gathered in one place. Texts
-are dealt into groups by a hash; each group asks for its distinct n-grams, one
-packed message for each shard of the n-gram space, along with its own training
-counts. A shard adds up the counts of all messages and answers each, so the
-part of the automaton that a group walks on comes to it. An n-gram that every
-text holds is one entry in each message.
+"""Operator 8: language-model scores from a weighted backoff automaton of order 3.
+
+States of the automaton are the contexts seen in training: none, one word, or two
+words (the start of text counts as a word). An arc for each n-gram seen carries
+its smoothed probability and leads to the state of its last two words; a failure
+arc leads from each context to the one without its first word. A text is scored
+in one traversal from left to right that carries the state: follow the arc of
+the next token, or else pay the failure arc's weight and try again from where it
+leads; the state without context has an arc for every token. Smoothing is by
+Dirichlet priors: p(x|h) = (c(hx) + mu p(x|h')) / (c(h) + mu), h' being h without
+its first word, so the failure arc of h weighs mu / (c(h) + mu). The strengths mu
+of the two orders are the pair of ``STRENGTHS`` under which training tokens, each
+left out of its own counts, are most likely.
+
+The automaton grows with the corpus and is never gathered in one place. A group
+of some megabytes of neighbouring rows asks for the counts of its distinct
+n-grams: sorted keys are cut into ranges, one packed message for each shard of the
+key space, along with the group's own training counts. A shard adds up the counts
+of all messages and answers with the totals of those n-grams that other groups
+have too, marked by a bit each, so nearly all that is shuffled are the keys, each
+once for each group. Group and shard sizes rise with the square root of the
+corpus, from 8 and 16 MB of text to 64 and 128 MB; at 100 TB a message still holds
+some 20 n-grams, and the number of messages stays far below that of n-grams. The
+part of the automaton that a group's texts can reach is built from the answers.
 """
 
 from __future__ import annotations
@@ -28,185 +34,313 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm._shared import U64, Stash, crc_mod, documents, grams, groups, mix, partitions, word_hashes
+from loomgraph.llm._shared import U64, Stash, crc_mod, documents, groups, mix, partitions, word_hashes
 
-GROUP_BYTES = 8_000_000
-#: Bytes of text whose n-grams one shard may hold.
-SHARD_BYTES = 64_000_000
-STRENGTHS = (3.0, 30.0, 300.0, 3000.0, 30000.0)
+#: Least and most bytes of text in a group, and of text whose n-grams a shard holds.
+GROUP_BYTES, GROUP_MOST = 8_000_000, 64_000_000
+SHARD_BYTES, SHARD_MOST = 16_000_000, 128_000_000
+#: Texts are walked in segments of as many tokens, side by side.
+SEGMENT = 512
+#: Prior strengths of contexts of one word and of two.
+STRENGTHS = ((30.0, 30.0), (300.0, 30.0), (300.0, 300.0), (3000.0, 300.0), (3000.0, 3000.0), (30000.0, 3000.0))
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
 ADD = 0.1
+_MUL = U64(0x9E3779B97F4A7C15)
 
 
-def tokens(text: str) -> np.ndarray:
-    """Hashes of a text's words and the end."""
-    return np.append(word_hashes(text), END)
-
-
-def arcs(t: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before, the first with the start of text."""
-    return grams(np.concatenate(([START], t)), 2)
+# --------------------------------------------------------------------------
+# n-grams
 
 
-def _encode(keys: np.ndarray) -> bytes:
+def tokens(text: str) -> np.ndarray:
+    """Hashes of the start of text, its words and the end."""
+    return np.concatenate(([START], word_hashes(text), [END]))
+
+
+def ngrams(seqs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Keys of all n-grams of orders 1 to 3 and the place of their last token; the order is in a key's last two bits."""
+    s = np.concatenate(seqs)
+    at = np.zeros(len(s), np.int64)  # place of a token in its text, 0 for the start
+    ends = np.cumsum([len(x) for x in seqs])
+    at[:] = np.arange(len(s)) - np.repeat(ends - [len(x) for x in seqs], [len(x) for x in seqs])
+    out = []
+    h = s
+    for order in (1, 2, 3):
+        if order > 1:
+            h = h[:-1] * _MUL + s[order - 1 :]
+        # a unigram is no start of text; an n-gram begins in its own text
+        place = np.flatnonzero(at[order - 1 :] >= max(1, order - 1))
+        out.append(((mix(h[place] + U64(order)) & ~U64(3)) | U64(order), place + order - 1))
+    return out
+
+
+def distinct(keys: list[np.ndarray], learnt: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Sorted distinct keys, how often each is learnt from, and for each order the number of every key."""
+    every = np.concatenate(keys)
+    found, where = np.unique(every, return_inverse=True)
+    n = np.bincount(where, np.concatenate(learnt), len(found)).astype(np.int64)
+    return found, n, np.split(where, np.cumsum([len(k) for k in keys])[:-1])
+
+
+def encode(keys: np.ndarray) -> bytes:
     """Sorted keys as the byte planes of their differences; the high planes are mostly zeros."""
     d = np.diff(keys, prepend=U64(0))
     return np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _decode(raw: bytes) -> np.ndarray:
+def decode(raw: bytes) -> np.ndarray:
     planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
 
 
-def _counts_encode(n: np.ndarray) -> bytes:
+def encode_counts(n: np.ndarray) -> bytes:
     """Counts under 255 in a byte each, the others in eight bytes at the end."""
     small = np.minimum(n, 255).astype(np.uint8)
     return small.tobytes() + n[n >= 255].astype(np.int64).tobytes()
 
 
-def _counts_decode(raw: bytes, length: int) -> np.ndarray:
+def decode_counts(raw: bytes, length: int) -> np.ndarray:
     n = np.frombuffer(raw, np.uint8, length).astype(np.int64)
     big = np.flatnonzero(n == 255)
     n[big] = np.frombuffer(raw, np.int64, len(big), length)
     return n
 
 
-def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(keys) >> U64(33)).astype(np.int64) % shards
+def edges(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Where the shards' ranges of the key space begin and end among sorted keys."""
+    first = (np.arange(1, shards).astype(object) * 2**64 // shards).astype(np.uint64)
+    return np.concatenate(([0], np.searchsorted(keys, first), [len(keys)]))
 
 
-def _requests(shards: int):
-    """Texts of a group -> one message for each shard: n-grams asked for, with training counts.
+# --------------------------------------------------------------------------
+# counts
 
-    Unigrams and bigrams are separate messages (order 1 and 2).
-    """
+
+def _requests(shards: int):
+    """Rows ``grp, row, train, text`` -> a message for each shard from each run of a group's rows."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in groups(it, [0]):
-            grp = g.column(0)[0].as_py()
-            uni, bi = [], []
-            for text, train in zip(g.column(1).to_pylist(), g.column(2).to_pylist()):
-                t = tokens(text)
-                uni.append((t, train))
-                bi.append((arcs(t), train))
-            for order, own in ((1, uni), (2, bi)):
-                every = np.concatenate([x for x, _ in own])
-                learnt = np.repeat([bool(tr) for _, tr in own], [len(x) for x, _ in own])
-                keys, where = np.unique(every, return_inverse=True)
-                n = np.bincount(where, learnt, len(keys)).astype(np.int64)
-                shard = _shard_of(keys, shards)
-                by = np.argsort(shard, kind="stable")
-                edge = np.searchsorted(shard[by], np.arange(shards + 1))
-                rows = [(s, grp, order, _encode(keys[p]), _counts_encode(n[p])) for s in range(shards) if len(p := by[edge[s] : edge[s + 1]])]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["shard", "grp", "ord", "keys", "counts"])
+            rows = g.column(1).to_numpy()
+            seqs = [tokens(t) for t in g.column(3).to_pylist()]
+            train = np.repeat(g.column(2).to_numpy().astype(bool), [len(x) for x in seqs])
+            grams = ngrams(seqs)
+            keys, n, _ = distinct([k for k, _ in grams], [train[p] for _, p in grams])
+            cut = edges(keys, shards).tolist()
+            out = [(i, g.column(0)[0].as_py(), int(rows[0]), int(rows[-1]), encode(keys[lo:hi]), encode_counts(n[lo:hi])) for i, (lo, hi) in enumerate(zip(cut, cut[1:])) if lo < hi]
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["shard", "grp", "lo", "hi", "keys", "counts"])
 
     return run
 
 
 def _answers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Messages of a shard and order -> total counts for each of them; grp -1 carries N and V."""
-    for g in groups(it, [0, 1]):
-        shard, order = g.column(0)[0].as_py(), g.column(1)[0].as_py()
-        grps = g.column(2).to_pylist()
-        keys = [_decode(k) for k in g.column(3).to_pylist()]
-        own = [_counts_decode(c, len(k)) for c, k in zip(g.column(4).to_pylist(), keys)]
+    """Messages of a shard -> which keys others have counts of, and those totals; a row with null lo carries N and V."""
+    for g in groups(it, [0]):
+        shard = g.column(0)[0].as_py()
+        keys = [decode(k) for k in g.column(4).to_pylist()]
+        own = [decode_counts(c, len(k)) for c, k in zip(g.column(5).to_pylist(), keys)]
         every = np.concatenate(keys)
-        added = np.concatenate(own)
         by = np.argsort(every, kind="stable")
         every = every[by]
         head = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
-        total = np.add.reduceat(added[by], head)
+        total = np.add.reduceat(np.concatenate(own)[by], head)
         every = every[head]
-        del by, added, own
-        out = [(-1, shard, order, b"", int(total.sum()), int((total > 0).sum()))]
-        out += [(grp, shard, order, _counts_encode(total[np.searchsorted(every, k)]), 0, 0) for grp, k in zip(grps, keys)]
+        del by, head
+        words = (every & U64(3)) == 1
+        out = [(0, shard, None, None, b"", b"", int(total[words].sum()), int((total[words] > 0).sum()))]
+        for grp, lo, hi, k, n in zip(*(g.column(i).to_pylist() for i in (1, 2, 3)), keys, own):
+            t = total[np.searchsorted(every, k)]
+            out.append((grp, shard, lo, hi, np.packbits(t != n).tobytes(), encode_counts(t[t != n]), 0, 0))
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
         for at in range(0, len(out), 64):
             part = out[at : at + 64]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()))], names=["grp", "shard", "ord", "totals", "n", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], t) for i, t in enumerate(kinds)], names=["grp", "shard", "lo", "hi", "other", "totals", "n", "v"])
 
 
-def _lookup(every: np.ndarray, shards: int, replies: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys of a group and their total counts, from the shards' answers."""
-    keys = np.unique(every)
-    shard = _shard_of(keys, shards)
-    by = np.argsort(shard, kind="stable")
-    edge = np.searchsorted(shard[by], np.arange(shards + 1))
-    n = np.zeros(len(keys), np.int64)
-    for s in range(shards):
-        p = by[edge[s] : edge[s + 1]]
-        if len(p):
-            n[p] = _counts_decode(replies[s], len(p))
-    return keys, n
+# --------------------------------------------------------------------------
+# the automaton
 
 
-def _score(shards: int, total: int, distinct: int, n_start: int):
-    """Traversal of a group's texts; ``n_start`` is the training count of the start state."""
-    floor = np.log10(total + ADD * (distinct + 1))
-    strengths = np.array(STRENGTHS)[:, None]
+class Automaton:
+    """The states and arcs that some texts can reach, with a weight for each pair of strengths.
 
-    def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        toks = [tokens(t) for t in docs["text"]]
-        replies = {o: dict(zip(a["shard"], a["totals"])) for o, a in answers.groupby("ord")}
-        bis = [arcs(t) for t in toks]
-        lens = [len(t) for t in toks]
-        every = np.concatenate(toks) if toks else np.zeros(0, U64)
-        pairs = np.concatenate(bis) if bis else np.zeros(0, U64)
-        keys, n = _lookup(every, shards, replies.get(1, {}))
-        c = n[np.searchsorted(keys, every)]
-        keys, n = _lookup(pairs, shards, replies.get(2, {}))
-        arc = n[np.searchsorted(keys, pairs)]
-        del keys, n, every, pairs, toks, bis
-        ends = np.cumsum(lens)
-        starts = ends - lens
-        # the state before each token: the token before, or the start of text
-        state = np.concatenate(([0], c[:-1]))
-        state[starts] = n_start
-        learn = ~docs["held_out"].to_numpy(bool)
-        own = np.repeat(learn, lens)
-        p = (c + ADD) / (total + ADD * (distinct + 1))
-        base = np.add.reduceat(np.log10(c + ADD), starts) - np.array(lens) * floor
-        # arc of a seen bigram, or failure arc times unigram; both are one formula
-        path = np.log10(arc + strengths * p) - np.log10(state + strengths)
-        score = np.add.reduceat(path, starts, axis=1)
-        # left out of its own counts, a training token still has a chance
-        left = np.log10(np.maximum(arc - 1, 0) + strengths * p) - np.log10(np.maximum(state - 1, 0) + strengths)
-        left = (left * own).sum(axis=1)
-        out = pd.DataFrame({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": lens, "n_known": np.add.reduceat((c > 0).astype(np.int64), starts), "base_score": base, "scores": list(score.T)})
-        out["left"] = [left if i == 0 else None for i in range(len(out))]
+    State 0 has no context, state 1 is the start of text; then come one state
+    for each word and one for each bigram of the texts. Contexts that training
+    does not have are states that nothing leads to. Weights are log10.
+    """
+
+    def __init__(self, c1: np.ndarray, bigrams: tuple[np.ndarray, ...], trigrams: tuple[np.ndarray, ...], n_start: int, total: int, words: int):
+        """``bigrams``: counts, state of the first word, word; ``trigrams``: counts, number of its first bigram, of its last, word."""
+        c2, before, w2 = bigrams
+        c3, first, last, w3 = trigrams
+        u = self.n_words = len(c1)
+        mu2, mu3 = (np.array(m)[:, None] for m in zip(*STRENGTHS))
+        p1 = (c1 + ADD) / (total + ADD * (words + 1))
+        context = np.concatenate(([0, n_start], c1))  # counts of the states of up to one word
+        p2 = (c2 + mu2 * p1[w2]) / (context[before] + mu2)
+        p3 = (c3 + mu3 * p2[:, last]) / (c2[first] + mu3)
+        self.word = np.log10(p1)
+        self.word_to = np.where(c1 > 0, 2 + np.arange(u), 0)
+        seen2, seen3 = np.flatnonzero(c2 > 0), np.flatnonzero(c3 > 0)
+        code = np.concatenate((before[seen2] * u + w2[seen2], (2 + u + first[seen3]) * u + w3[seen3]))
+        by = np.argsort(code)
+        self.arc = code[by]
+        self.weight = np.ascontiguousarray(np.log10(np.concatenate((p2[:, seen2], p3[:, seen3]), axis=1)).T[by])
+        self.to = np.concatenate((2 + u + seen2, 2 + u + last[seen3]))[by]
+        self.failure = np.concatenate(([0, 0], np.zeros(u, np.int64), 2 + w2))
+        lost = np.concatenate((mu2 / (context + mu2), mu3 / (c2 + mu3)), axis=1)
+        self.failure_weight = np.ascontiguousarray(np.log10(lost).T)
+        self._left = (c2, context[before], p1[w2], c3, c2[first], last, mu2, mu3)
+
+    def left_out(self, n2: np.ndarray, n3: np.ndarray) -> np.ndarray:
+        """Log-likelihood of ``n2`` bigrams and ``n3`` trigrams of training, each left out of the counts."""
+        c2, h2, p1, c3, h3, last, mu2, mu3 = self._left
+        p2 = (np.maximum(c2 - 1, 0) + mu2 * p1) / (np.maximum(h2 - 1, 0) + mu2)
+        p3 = (np.maximum(c3 - 1, 0) + mu3 * p2[:, last]) / (np.maximum(h3 - 1, 0) + mu3)
+        return np.log10(p2) @ n2 + np.log10(p3) @ n3
+
+    def walk(self, state: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Weights of segments of ``words``, each walked from its first state; longest segments come first."""
+        out = np.zeros((len(start), len(STRENGTHS)))
+        state = state.copy()
+        for k in range(int(length[0]) if len(length) else 0):
+            n = int(np.searchsorted(-length, -k))  # those that are longer than k
+            s, x = state[:n], words[start[:n] + k]
+            todo = np.arange(n)
+            while len(todo):
+                code = s[todo] * self.n_words + x[todo]
+                at = np.minimum(np.searchsorted(self.arc, code), max(0, len(self.arc) - 1))
+                hit = (self.arc[at] == code) if len(self.arc) else np.zeros(len(todo), bool)
+                own = todo[hit]
+                out[own] += self.weight[at[hit]]
+                s[own] = self.to[at[hit]]
+                todo = todo[~hit]
+                root = s[todo] == 0
+                own = todo[root]
+                out[own] += self.word[x[own], None]
+                s[own] = self.word_to[x[own]]
+                todo = todo[~root]
+                out[todo] += self.failure_weight[s[todo]]
+                s[todo] = self.failure[s[todo]]
         return out
 
+
+def score_texts(texts: list[str], train: np.ndarray, totals, n_start: int, total: int, words: int) -> tuple[np.ndarray, ...]:
+    """Tokens, known ones, base score, score for each pair of strengths of each text, and the left-out likelihoods.
+
+    ``totals(keys, n)`` gives the training counts of sorted keys, ``n`` of which are these texts' own.
+    """
+    seqs = [tokens(t) for t in texts]
+    lens = np.array([len(x) - 1 for x in seqs])
+    learn = np.repeat(train, lens + 1)
+    grams = ngrams(seqs)
+    keys, own, (k1, k2, k3) = distinct([k for k, _ in grams], [learn[p] for _, p in grams])
+    c = totals(keys, own)
+    order = (keys & U64(3)).astype(np.int64)
+    number = np.zeros(len(keys), np.int64)  # of a key among those of its order
+    for i in (1, 2, 3):
+        number[order == i] = np.arange((order == i).sum())
+    of = [np.flatnonzero(order == i) for i in (1, 2, 3)]
+    size = int((lens + 1).sum())
+    word, bigram = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    word[grams[0][1]], bigram[grams[1][1]] = number[k1], number[k2]
+    state = 2 + word  # of one word; the start of text has its own
+    starts = np.cumsum(lens + 1) - lens - 1
+    state[starts] = 1
+    # what each distinct n-gram consists of, from any place it occurs
+    before, w2 = np.zeros(len(of[1]), np.int64), np.zeros(len(of[1]), np.int64)
+    first, last, w3 = (np.zeros(len(of[2]), np.int64) for _ in range(3))
+    p = grams[1][1]
+    before[number[k2]], w2[number[k2]] = state[p - 1], word[p]
+    p = grams[2][1]
+    first[number[k3]], last[number[k3]], w3[number[k3]] = bigram[p - 1], bigram[p], word[p]
+    c1, c2, c3 = (c[x] for x in of)
+    a = Automaton(c1, (c2, before, w2), (c3, first, last, w3), n_start, total, words)
+    # own training counts of first bigrams of texts and of all trigrams
+    p = starts + 1
+    n2 = np.bincount(bigram[p], learn[p], len(of[1]))
+    left = a.left_out(n2, own[of[2]])
+    # segments: each begins in the state that the two tokens before it lead to
+    n_seg = -(-lens // SEGMENT)
+    doc = np.repeat(np.arange(len(lens)), n_seg)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(n_seg) - n_seg, n_seg)
+    begin = starts[doc] + 1 + nth * SEGMENT
+    length = np.minimum(SEGMENT, lens[doc] - nth * SEGMENT)
+    at = np.where(c2[bigram[begin - 1]] > 0, 2 + len(of[0]) + bigram[begin - 1], np.where(c1[word[begin - 1]] > 0, 2 + word[begin - 1], 0))
+    at = np.where(nth == 0, 1, at)
+    by = np.argsort(-length, kind="stable")
+    score = np.zeros((len(lens), len(STRENGTHS)))
+    np.add.at(score, doc[by], a.walk(at[by], word, begin[by], length[by]))
+    known = c[k1] > 0
+    edge = np.cumsum(lens) - lens
+    base = np.add.reduceat(np.log10(c[k1] + ADD), edge) - lens * np.log10(total + ADD * (words + 1))
+    return lens, np.add.reduceat(known.astype(np.int64), edge), base, score, left
+
+
+def _score(shards: int, n_start: int, total: int, words: int):
+    def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (lo, hi), a in answers.groupby(["lo", "hi"]):
+            own = docs[(docs["row"] >= lo) & (docs["row"] <= hi)]
+            replies = {s: (o, t) for s, o, t in zip(a["shard"], a["other"], a["totals"])}
+
+            def totals(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+                n, cut = n.copy(), edges(keys, shards).tolist()
+                for s, (x, y) in enumerate(zip(cut, cut[1:])):
+                    if x < y:
+                        other, t = replies[s]  # noqa: B023
+                        at = x + np.flatnonzero(np.unpackbits(np.frombuffer(other, np.uint8), count=y - x))
+                        n[at] = decode_counts(t, len(at))
+                return n
+
+            lens, known, base, score, left = score_texts(own["text"].tolist(), ~own["held_out"].to_numpy(bool), totals, n_start, total, words)
+            f = pd.DataFrame({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": lens, "n_known": known, "base_score": base, "scores": list(score)})
+            f["left"] = [left if i == 0 else None for i in range(len(f))]
+            out.append(f)
+        return pd.concat(out)
+
     return run
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held=None) -> DataFrame:
+def _numbered(stash: Stash, docs: DataFrame, doc_id: str, text: str, held, plain: bool) -> DataFrame:
+    """``doc_id, text, held_out, file, row``: rows by file and place; what is no plain reader of files is written first."""
+    cols = [F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), held.alias("held_out")]
+    if not plain:
+        docs, cols = stash.put(docs.select(*cols), "docs"), ["doc_id", "text", "held_out"]
+    return docs.select(*cols, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held=None, plain: bool = False) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Null text counts as empty: one end token. Rows that repeat are scored and
     learned from as often as they come. A null doc_id counts as the empty text
     in crc32, and so is held out. Other columns are ignored. An empty table
-    gives no rows.
+    gives no rows. ``plain`` says that ``docs`` reads Parquet files as they are,
+    so that rows can be told by file and place; others are written first.
     """
     spark = docs.sparkSession
     stash = Stash(spark, "lm")
     held = held if held is not None else crc_mod(F.col(doc_id), 10) == 0
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), held.alias("held_out"))
-    size = d.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b"), F.sum(F.when(~F.col("held_out"), 1).otherwise(0)).alias("train")).first()
-    n_groups = max(1, -(-int(size.b or 0) // GROUP_BYTES))
-    # as many shards as the session has partitions, more if its n-grams would not fit a task
-    shards = max(partitions(spark), -(-int(size.b or 0) // SHARD_BYTES))
-    d = d.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)))
-    dealt = d.select("grp", "text", (~F.col("held_out")).alias("train")).repartition(shards, "grp").sortWithinPartitions("grp")
-    asked = dealt.mapInArrow(_requests(shards), "shard int, grp long, ord int, keys binary, counts binary")
-    asked = asked.select("shard", "ord", "grp", "keys", "counts").repartition(shards, "shard", "ord").sortWithinPartitions("shard", "ord")
-    told = stash.put(asked.mapInArrow(_answers, "grp long, shard int, ord int, totals binary, n long, v long"), "answers")
-    sums = told.where("grp = -1 and ord = 1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
-    run = _score(shards, int(sums.n), int(sums.v), int(size.train or 0))
+    d = _numbered(stash, docs, doc_id, text, held, plain)
+    size = d.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b"), F.coalesce(F.sum(F.when(~F.col("held_out"), 1).otherwise(0)), F.lit(0)).alias("train")).first()
+    grow = max(1.0, (size.b / 2e12) ** 0.5)
+    group_bytes, shard_bytes = min(GROUP_MOST, GROUP_BYTES * grow), min(SHARD_MOST, SHARD_BYTES * grow)
+    shards = max(1, int(-(-size.b // shard_bytes)), min(partitions(spark), size.b // 1_000_000))
+    per_group = max(1, int(group_bytes * size.n / max(size.b, 1)))
+    d = d.withColumn("grp", F.xxhash64("file", F.floor(F.col("row") / per_group)))
+    asked = d.select("grp", "row", (~F.col("held_out")).alias("train"), "text").mapInArrow(_requests(shards), "shard int, grp long, lo long, hi long, keys binary, counts binary")
+    asked = asked.repartitionById(shards, "shard").sortWithinPartitions("shard")
+    told = stash.put(asked.mapInArrow(_answers, "grp long, shard int, lo long, hi long, other binary, totals binary, n long, v long"), "answers")
+    sums = told.where("lo is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
+    run = _score(shards, int(size.train), int(sums.n), int(sums.v))
     ddl = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, scores array<double>, left array<double>"
-    scored = d.groupBy("grp").cogroup(told.where("grp >= 0").select("grp", "shard", "ord", "totals").groupBy("grp")).applyInPandas(run, ddl)
+    replies = told.where("lo is not null").select("grp", "shard", "lo", "hi", "other", "totals")
+    scored = d.select("grp", "row", "doc_id", "held_out", "text").groupBy("grp").cogroup(replies.groupBy("grp")).applyInPandas(run, ddl)
     scored = stash.put(scored, "scores")
-    stash.drop(told)
+    stash.keep(scored)
     fit = scored.where("left is not null").select(F.posexplode("left").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
     best = max(fit, key=lambda r: (r.x, -r.i)).i if fit else 0
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(sums.n)).cast("long").alias("train_tokens"), "base_score", F.col("scores")[best].alias("score"))
@@ -214,4 +348,4 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held=None
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all whole documents under a model of those that are not held out."""
-    return score(documents(spark, sf_dir))
+    return score(documents(spark, sf_dir), plain=True)

@@ -351,25 +351,53 @@ def test_language_of_held_out_documents(spark):
 # -- language model ------------------------------------------------------------------------------------
 
 
-def test_lm(docs, nothing):
-    rows = [(d, [*words(t or ""), b"\0end"]) for d, t in collect(docs, "doc_id", "text")]
-    held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0
-    uni, bi, starts = collections.Counter(), collections.Counter(), 0
+def dictionary_automaton(rows, held):
+    """States, arcs and failure arcs as dictionaries, walked token by token."""
+    count = [collections.Counter() for _ in range(4)]
     for d, t in rows:
         if not held(d):
-            uni.update(t)
-            bi.update(zip([None, *t], t))
-            starts += 1
-    n, v = sum(uni.values()), len(uni)
-    p = lambda w: (uni[w] + 0.1) / (n + 0.1 * (v + 1))
-
-    def arc(prev, w, mu, less=0):
-        c = starts if prev is None else uni[prev]
-        return math.log10((max(0, bi[prev, w] - less) + mu * p(w)) / (max(0, c - less) + mu))
-
-    mu = max(lm_scoring.STRENGTHS, key=lambda m: sum(arc(a, b, m, 1) for d, t in rows if not held(d) for a, b in zip([None, *t], t)))
-    want = [(d, held(d), len(t), sum(uni[w] > 0 for w in t), n, round(sum(math.log10(p(w)) for w in t), 6), round(sum(arc(a, b, mu) for a, b in zip([None, *t], t)), 6)) for d, t in rows]
-    got = lm_scoring.score(docs.drop("score", "grp").selectExpr("*", "7 as score"))
+            s = [None, *t]
+            for n in (1, 2, 3):
+                count[n].update(tuple(s[i : i + n]) for i in range(n == 1, len(s) - n + 1))
+            count[1][None,] += 1
+    starts = count[1].pop((None,), 0)
+    total, v = sum(count[1].values()), len(count[1])
+    size = lambda h: starts if h == (None,) else count[len(h)][h]
+    p1 = lambda w: (count[1][w,] + 0.1) / (total + 0.1 * (v + 1))
+
+    def arc(h, w, mu, less=0):  # the smoothed probability of w after h
+        if not h:
+            return p1(w)
+        m = mu[len(h) - 1]
+        return (max(0, count[len(h) + 1][*h, w] - less) + m * arc(h[1:], w, mu, less)) / (max(0, size(h) - less) + m)
+
+    def walk(t, mu):
+        h, out = (None,), 0.0
+        for w in t:
+            while h and not count[len(h) + 1][*h, w]:
+                m = mu[len(h) - 1]
+                out += math.log10(m / (size(h) + m))
+                h = h[1:]
+            out += math.log10(arc(h, w, mu))
+            h = (*h, w)[-2:]
+            while h and not size(h):
+                h = h[1:]
+        return out
+
+    def left_out(mu):
+        return sum(math.log10(arc(tuple(s[max(0, i - 2) : i]), s[i], mu, 1)) for d, t in rows if not held(d) for s in [[None, *t]] for i in range(1, len(s)))
+
+    mu = max(lm_scoring.STRENGTHS, key=left_out)
+    return count[1], total, p1, lambda t: walk(t, mu)
+
+
+def test_lm(docs, nothing, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SEGMENT", 100)
+    rows = [(d, [*words(t or ""), b"\0end"]) for d, t in collect(docs, "doc_id", "text")]
+    held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0
+    uni, n, p, walk = dictionary_automaton(rows, held)
+    want = [(d, held(d), len(t), sum(uni[w,] > 0 for w in t), n, round(sum(math.log10(p(w)) for w in t), 6), round(walk(t), 6)) for d, t in rows]
+    got = lm_scoring.score(docs.drop("score", "grp").selectExpr("*", "7 as score"), plain=True)
     got = [(*r[:5], round(r[5], 6), round(r[6], 6)) for r in collect(got, "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
     key = lambda r: tuple(-1 if x is None else x for x in r)
     for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
@@ -380,7 +408,8 @@ def test_lm(docs, nothing):
 def test_lm_groups_do_not_matter(docs, monkeypatch):
     one = sorted(collect(lm_scoring.score(docs), "doc_id", "n_tokens", F.round("score", 6)), key=str)
     monkeypatch.setattr(lm_scoring, "GROUP_BYTES", 5000)
-    assert sorted(collect(lm_scoring.score(docs), "doc_id", "n_tokens", F.round("score", 6)), key=str) == one
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 20000)
+    assert sorted(collect(lm_scoring.score(docs.repartition(3)), "doc_id", "n_tokens", F.round("score", 6)), key=str) == one
 
 
 # -- passages -----------------------------------------------------------------------------------------
