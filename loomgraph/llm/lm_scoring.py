@@ -8,9 +8,11 @@ in one traversal from left to right that carries the state: follow the arc of
 the next token, or else pay the failure arc's weight and try again from where it
 leads; the state without context has an arc for every token. Smoothing is by
 Dirichlet priors: p(x|h) = (c(hx) + mu p(x|h')) / (c(h) + mu), h' being h without
-its first word, so the failure arc of h weighs mu / (c(h) + mu). The strengths mu
-of the two orders are the pair of ``STRENGTHS`` under which training tokens, each
-left out of its own counts, are most likely.
+its first word, so the failure arc of h weighs mu / (c(h) + mu). The strength mu
+of each order maximises the likelihood of the training tokens, each left out of
+its own counts, where n-grams seen once fall to the prior and those seen more
+often do not change with it; that takes only the number of n-grams seen once and
+a histogram of the contexts' counts, over all training data.
 
 The automaton grows with the corpus and is never gathered in one place. A group
 of some megabytes of neighbouring rows asks for the counts of its distinct
@@ -27,6 +29,7 @@ part of the automaton that a group's texts can reach is built from the answers.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -41,8 +44,8 @@ GROUP_BYTES, GROUP_MOST = 8_000_000, 64_000_000
 SHARD_BYTES, SHARD_MOST = 16_000_000, 128_000_000
 #: Texts are walked in segments of as many tokens, side by side.
 SEGMENT = 512
-#: Prior strengths of contexts of one word and of two.
-STRENGTHS = ((30.0, 30.0), (300.0, 30.0), (300.0, 300.0), (3000.0, 300.0), (3000.0, 3000.0), (30000.0, 3000.0))
+#: Bins of the histograms of counts: by the number of binary digits.
+BINS = 64
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
 ADD = 0.1
@@ -135,8 +138,15 @@ def _requests(shards: int):
     return run
 
 
+def histogram(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many positive counts there are in each bin, and their sums."""
+    n = n[n > 0]
+    at = np.frexp(n.astype(float))[1]  # counts from 2**(i-1) up to 2**i - 1 are in bin i
+    return np.bincount(at, minlength=BINS).astype(np.int64), np.bincount(at, n, BINS).astype(np.int64)
+
+
 def _answers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Messages of a shard -> which keys others have counts of, and those totals; a row with null lo carries N and V."""
+    """Messages of a shard -> which keys others have counts of, and those totals; a row with null lo carries histograms."""
     for g in groups(it, [0]):
         shard = g.column(0)[0].as_py()
         keys = [decode(k) for k in g.column(4).to_pylist()]
@@ -148,62 +158,82 @@ def _answers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.add.reduceat(np.concatenate(own)[by], head)
         every = every[head]
         del by, head
-        words = (every & U64(3)) == 1
-        out = [(0, shard, None, None, b"", b"", int(total[words].sum()), int((total[words] > 0).sum()))]
+        stats = np.concatenate([x for o in (1, 2, 3) for x in histogram(total[(every & U64(3)) == U64(o)])])
+        out = [(0, shard, None, None, b"", b"", stats)]
         for grp, lo, hi, k, n in zip(*(g.column(i).to_pylist() for i in (1, 2, 3)), keys, own):
             t = total[np.searchsorted(every, k)]
-            out.append((grp, shard, lo, hi, np.packbits(t != n).tobytes(), encode_counts(t[t != n]), 0, 0))
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+            out.append((grp, shard, lo, hi, np.packbits(t != n).tobytes(), encode_counts(t[t != n]), None))
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         for at in range(0, len(out), 64):
             part = out[at : at + 64]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], t) for i, t in enumerate(kinds)], names=["grp", "shard", "lo", "hi", "other", "totals", "n", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], t) for i, t in enumerate(kinds)], names=["grp", "shard", "lo", "hi", "other", "totals", "stats"])
+
+
+def strength(once: int, number: np.ndarray, sums: np.ndarray) -> float:
+    """The prior strength at which leaving tokens out is most likely, by bisection.
+
+    ``once`` n-grams are seen once; ``number`` contexts of each bin have ``sums``
+    tokens. The derivative of the likelihood is once / mu - sum(c(h) / (c(h) - 1 + mu)).
+    """
+    full = number > 0
+    mean, tokens_ = sums[full] / number[full], sums[full]
+    lo, hi = 1e-3, 1e9
+    for _ in range(100):
+        mu = (lo * hi) ** 0.5
+        if once > (tokens_ * mu / (mean - 1 + mu)).sum():
+            lo = mu
+        else:
+            hi = mu
+    return float(lo)
 
 
 # --------------------------------------------------------------------------
 # the automaton
 
 
+@dataclass(frozen=True)
+class Model:
+    """What all texts' automata have in common: training texts, tokens, words, and the prior strengths."""
+
+    n_start: int
+    total: int
+    words: int
+    mu2: float
+    mu3: float
+
+
 class Automaton:
-    """The states and arcs that some texts can reach, with a weight for each pair of strengths.
+    """The states and arcs that some texts can reach.
 
     State 0 has no context, state 1 is the start of text; then come one state
     for each word and one for each bigram of the texts. Contexts that training
     does not have are states that nothing leads to. Weights are log10.
     """
 
-    def __init__(self, c1: np.ndarray, bigrams: tuple[np.ndarray, ...], trigrams: tuple[np.ndarray, ...], n_start: int, total: int, words: int):
+    def __init__(self, c1: np.ndarray, bigrams: tuple[np.ndarray, ...], trigrams: tuple[np.ndarray, ...], model: Model):
         """``bigrams``: counts, state of the first word, word; ``trigrams``: counts, number of its first bigram, of its last, word."""
         c2, before, w2 = bigrams
         c3, first, last, w3 = trigrams
         u = self.n_words = len(c1)
-        mu2, mu3 = (np.array(m)[:, None] for m in zip(*STRENGTHS))
-        p1 = (c1 + ADD) / (total + ADD * (words + 1))
-        context = np.concatenate(([0, n_start], c1))  # counts of the states of up to one word
-        p2 = (c2 + mu2 * p1[w2]) / (context[before] + mu2)
-        p3 = (c3 + mu3 * p2[:, last]) / (c2[first] + mu3)
+        p1 = (c1 + ADD) / (model.total + ADD * (model.words + 1))
         self.word = np.log10(p1)
-        self.word_to = np.where(c1 > 0, 2 + np.arange(u), 0)
+        self.word_to = np.where(c1 > 0, 2 + np.arange(u), 0).astype(np.int32)
+        context = np.concatenate(([0, model.n_start], c1))  # counts of the states of up to one word
+        p2 = (c2 + model.mu2 * p1[w2]) / (context[before] + model.mu2)
         seen2, seen3 = np.flatnonzero(c2 > 0), np.flatnonzero(c3 > 0)
-        code = np.concatenate((before[seen2] * u + w2[seen2], (2 + u + first[seen3]) * u + w3[seen3]))
+        first, last = first[seen3], last[seen3]
+        p3 = (c3[seen3] + model.mu3 * p2[last]) / (c2[first] + model.mu3)
+        code = np.concatenate((before[seen2] * u + w2[seen2], (2 + u + first) * u + w3[seen3]))
         by = np.argsort(code)
         self.arc = code[by]
-        self.weight = np.ascontiguousarray(np.log10(np.concatenate((p2[:, seen2], p3[:, seen3]), axis=1)).T[by])
-        self.to = np.concatenate((2 + u + seen2, 2 + u + last[seen3]))[by]
-        self.failure = np.concatenate(([0, 0], np.zeros(u, np.int64), 2 + w2))
-        lost = np.concatenate((mu2 / (context + mu2), mu3 / (c2 + mu3)), axis=1)
-        self.failure_weight = np.ascontiguousarray(np.log10(lost).T)
-        self._left = (c2, context[before], p1[w2], c3, c2[first], last, mu2, mu3)
-
-    def left_out(self, n2: np.ndarray, n3: np.ndarray) -> np.ndarray:
-        """Log-likelihood of ``n2`` bigrams and ``n3`` trigrams of training, each left out of the counts."""
-        c2, h2, p1, c3, h3, last, mu2, mu3 = self._left
-        p2 = (np.maximum(c2 - 1, 0) + mu2 * p1) / (np.maximum(h2 - 1, 0) + mu2)
-        p3 = (np.maximum(c3 - 1, 0) + mu3 * p2[:, last]) / (np.maximum(h3 - 1, 0) + mu3)
-        return np.log10(p2) @ n2 + np.log10(p3) @ n3
+        self.weight = np.log10(np.concatenate((p2[seen2], p3)))[by]
+        self.to = np.concatenate((2 + u + seen2, 2 + u + last)).astype(np.int32)[by]
+        self.failure = np.concatenate((np.zeros(2 + u, np.int64), 2 + w2)).astype(np.int32)
+        self.failure_weight = np.log10(np.concatenate((model.mu2 / (context + model.mu2), model.mu3 / (c2 + model.mu3))))
 
     def walk(self, state: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Weights of segments of ``words``, each walked from its first state; longest segments come first."""
-        out = np.zeros((len(start), len(STRENGTHS)))
+        out = np.zeros(len(start))
         state = state.copy()
         for k in range(int(length[0]) if len(length) else 0):
             n = int(np.searchsorted(-length, -k))  # those that are longer than k
@@ -219,7 +249,7 @@ class Automaton:
                 todo = todo[~hit]
                 root = s[todo] == 0
                 own = todo[root]
-                out[own] += self.word[x[own], None]
+                out[own] += self.word[x[own]]
                 s[own] = self.word_to[x[own]]
                 todo = todo[~root]
                 out[todo] += self.failure_weight[s[todo]]
@@ -227,8 +257,8 @@ class Automaton:
         return out
 
 
-def score_texts(texts: list[str], train: np.ndarray, totals, n_start: int, total: int, words: int) -> tuple[np.ndarray, ...]:
-    """Tokens, known ones, base score, score for each pair of strengths of each text, and the left-out likelihoods.
+def score_texts(texts: list[str], train: np.ndarray, totals, model: Model) -> tuple[np.ndarray, ...]:
+    """Tokens, known ones, base score and score of each text.
 
     ``totals(keys, n)`` gives the training counts of sorted keys, ``n`` of which are these texts' own.
     """
@@ -257,11 +287,7 @@ def score_texts(texts: list[str], train: np.ndarray, totals, n_start: int, total
     p = grams[2][1]
     first[number[k3]], last[number[k3]], w3[number[k3]] = bigram[p - 1], bigram[p], word[p]
     c1, c2, c3 = (c[x] for x in of)
-    a = Automaton(c1, (c2, before, w2), (c3, first, last, w3), n_start, total, words)
-    # own training counts of first bigrams of texts and of all trigrams
-    p = starts + 1
-    n2 = np.bincount(bigram[p], learn[p], len(of[1]))
-    left = a.left_out(n2, own[of[2]])
+    a = Automaton(c1, (c2, before, w2), (c3, first, last, w3), model)
     # segments: each begins in the state that the two tokens before it lead to
     n_seg = -(-lens // SEGMENT)
     doc = np.repeat(np.arange(len(lens)), n_seg)
@@ -271,15 +297,14 @@ def score_texts(texts: list[str], train: np.ndarray, totals, n_start: int, total
     at = np.where(c2[bigram[begin - 1]] > 0, 2 + len(of[0]) + bigram[begin - 1], np.where(c1[word[begin - 1]] > 0, 2 + word[begin - 1], 0))
     at = np.where(nth == 0, 1, at)
     by = np.argsort(-length, kind="stable")
-    score = np.zeros((len(lens), len(STRENGTHS)))
-    np.add.at(score, doc[by], a.walk(at[by], word, begin[by], length[by]))
+    score = np.bincount(doc[by], a.walk(at[by], word, begin[by], length[by]), len(lens))
     known = c[k1] > 0
     edge = np.cumsum(lens) - lens
-    base = np.add.reduceat(np.log10(c[k1] + ADD), edge) - lens * np.log10(total + ADD * (words + 1))
-    return lens, np.add.reduceat(known.astype(np.int64), edge), base, score, left
+    base = np.add.reduceat(np.log10(c[k1] + ADD), edge) - lens * np.log10(model.total + ADD * (model.words + 1))
+    return lens, np.add.reduceat(known.astype(np.int64), edge), base, score
 
 
-def _score(shards: int, n_start: int, total: int, words: int):
+def _score(shards: int, model: Model):
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for (lo, hi), a in answers.groupby(["lo", "hi"]):
@@ -295,10 +320,8 @@ def _score(shards: int, n_start: int, total: int, words: int):
                         n[at] = decode_counts(t, len(at))
                 return n
 
-            lens, known, base, score, left = score_texts(own["text"].tolist(), ~own["held_out"].to_numpy(bool), totals, n_start, total, words)
-            f = pd.DataFrame({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": lens, "n_known": known, "base_score": base, "scores": list(score)})
-            f["left"] = [left if i == 0 else None for i in range(len(f))]
-            out.append(f)
+            lens, known, base, score = score_texts(own["text"].tolist(), ~own["held_out"].to_numpy(bool), totals, model)
+            out.append(pd.DataFrame({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": lens, "n_known": known, "train_tokens": model.total, "base_score": base, "score": score}))
         return pd.concat(out)
 
     return run
@@ -333,17 +356,15 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held=None
     d = d.withColumn("grp", F.xxhash64("file", F.floor(F.col("row") / per_group)))
     asked = d.select("grp", "row", (~F.col("held_out")).alias("train"), "text").mapInArrow(_requests(shards), "shard int, grp long, lo long, hi long, keys binary, counts binary")
     asked = asked.repartitionById(shards, "shard").sortWithinPartitions("shard")
-    told = stash.put(asked.mapInArrow(_answers, "grp long, shard int, lo long, hi long, other binary, totals binary, n long, v long"), "answers")
-    sums = told.where("lo is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
-    run = _score(shards, int(size.train), int(sums.n), int(sums.v))
-    ddl = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, scores array<double>, left array<double>"
+    told = stash.put(asked.mapInArrow(_answers, "grp long, shard int, lo long, hi long, other binary, totals binary, stats array<long>"), "answers")
+    sums = np.zeros(6 * BINS, np.int64)
+    for r in told.where("lo is null").select(F.posexplode("stats").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect():  # 6 * BINS rows
+        sums[r.i] = r.x
+    (n1, t1), (n2, t2), (n3, _) = sums.reshape(3, 2, BINS)
+    model = Model(int(size.train), int(t1.sum()), int(n1.sum()), strength(n2[1], n1, t1), strength(n3[1], n2, t2))
+    ddl = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     replies = told.where("lo is not null").select("grp", "shard", "lo", "hi", "other", "totals")
-    scored = d.select("grp", "row", "doc_id", "held_out", "text").groupBy("grp").cogroup(replies.groupBy("grp")).applyInPandas(run, ddl)
-    scored = stash.put(scored, "scores")
-    stash.keep(scored)
-    fit = scored.where("left is not null").select(F.posexplode("left").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-    best = max(fit, key=lambda r: (r.x, -r.i)).i if fit else 0
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(sums.n)).cast("long").alias("train_tokens"), "base_score", F.col("scores")[best].alias("score"))
+    return d.select("grp", "row", "doc_id", "held_out", "text").groupBy("grp").cogroup(replies.groupBy("grp")).applyInPandas(_score(shards, model), ddl)
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
