@@ -1,8 +1,9 @@
 """What the two operators on repeated passages share.
 
 Both select anchors in each text by its content, keep those whose key occurs in
-more than one document, pair each with a neighbour under the same key, fetch
-the two texts of a pair and report the passages that are confirmed on them.
+more than one document, sort them, pair each with its neighbours of other
+documents under the same key, fetch the two texts of a pair and report the
+passages that are confirmed on them.
 """
 
 from __future__ import annotations
@@ -16,9 +17,6 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm._shared import ASCII_SPACE, U64, Stash, partitions, with_texts
 
-#: A key with more rows than this is dealt into sub-groups of about half of it. Each
-#: of them also gets a row of the key's first and last document, so that no document is alone.
-CROWD = 4096
 PLACE_BITS = 20
 
 
@@ -63,56 +61,71 @@ def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return d.select(F.xxhash64("doc_id", "text").alias("uid"), "doc_id", "text")
 
 
-def repeated(stash: Stash, rows: DataFrame) -> DataFrame:
-    """Rows ``key, uid, ...`` whose key more than one document has, with a salt for crowded keys."""
+def repeated(stash: Stash, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows ``key, uid, ...`` whose key more than one document has, with the key's number of rows ``n``, least and greatest one."""
     rows = stash.put(rows, "anchors")
-    many = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi")
+    row = F.struct("uid", *columns)
+    many = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(row).alias("lo"), F.max(row).alias("hi")).where("lo.uid < hi.uid")
     many = stash.put(many, "keys")
-    parts = F.ceil(F.col("n") / (CROWD // 2))
-    salt = F.when(F.col("n") > CROWD, F.pmod(F.xxhash64("uid", F.lit(1)), parts)).otherwise(F.lit(0)).cast("long")
-    end = (F.col("n") > CROWD) & ((F.col("uid") == F.col("lo")) | (F.col("uid") == F.col("hi")))
-    both = rows.join(many, "key").withColumn("salt", salt).withColumn("parts", F.when(end, parts).otherwise(F.lit(0)).cast("long"))
-    both = stash.put(both.drop("n", "lo", "hi"), "repeated")
+    both = stash.put(rows.join(many, "key"), "repeated")
     stash.drop(rows, many)
-    ends = both.where("parts > 0").dropDuplicates(["key", "uid"])
-    ends = ends.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).where(F.col("at") != F.col("salt"))
-    return both.drop("parts").unionByName(ends.drop("salt", "parts").withColumnRenamed("at", "salt"))
+    return both
 
 
-def neighbours(rows: DataFrame, columns: list[str], back: int) -> DataFrame:
+def neighbours(rows: DataFrame, order: list[str], columns: list[str], back: int = 1) -> DataFrame:
     """Pairs ``a, b`` of documents next to each other under a key, with both rows' ``columns``.
 
-    Each row of a document meets the first row of each of the ``back`` documents
-    before it; those of the first document meet the next one's. So pairs are
-    linear in rows, and every document of a key is on the left of some pair.
+    Rows ``key, uid, *columns, lo, hi`` are sorted by key, ``order`` and uid, and
+    dealt by ranges of all of these, so that the rows of a frequent key go to as
+    many tasks as they need. Each row meets the nearest row before it of the
+    ``back`` documents before it; those of a key's first document in a task meet
+    the next one's. A document that is alone with a key in its task meets the
+    key's least or greatest row, so none is left without a partner.
     """
     spark = rows.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     names = ["a", "b", *columns, *(f"{c}_b" for c in columns)]
     ddl = "a long, b long, " + ", ".join([f"{c} {kinds[c]}" for c in columns] + [f"{c}_b {kinds[c]}" for c in columns])
+    n_order, n_cols = len(order), len(columns)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cols in whole_groups(it, 2):
-            key, salt, uid, vals = cols[0], cols[1], cols[2], cols[3:]
-            fresh_group = np.concatenate(([True], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])))
-            fresh_doc = fresh_group | np.concatenate(([True], uid[1:] != uid[:-1]))
-            doc = np.cumsum(fresh_doc) - 1  # documents and groups are numbered through the chunk
-            head = np.flatnonzero(fresh_doc)
-            group_of = np.cumsum(fresh_group)[head] - 1
-            first = np.flatnonzero(fresh_group[head])[group_of]  # first document of each document's group
-            n_docs = np.bincount(group_of)[group_of]
-            lead = (first == np.arange(len(head)))[doc]
-            left = [np.flatnonzero(lead & (n_docs[doc] > 1))]
-            right = [head[doc[left[0]] + 1]]
+        for cols in whole_groups(it, 1):
+            key, near, uid = cols[0], cols[1 : 1 + n_order], cols[1 + n_order]
+            at = 2 + n_order + n_cols
+            vals, lo, hi = cols[2 + n_order : at], cols[at : at + n_cols + 1], cols[at + n_cols + 1 :]
+            fresh_key = np.concatenate(([True], key[1:] != key[:-1]))
+            fresh = fresh_key | np.concatenate(([True], uid[1:] != uid[:-1]))
+            for c in near:
+                fresh[1:] |= c[1:] != c[:-1]
+            run_of = np.cumsum(fresh) - 1  # runs of rows of one document, numbered through the chunk
+            head = np.flatnonzero(fresh)
+            key_of = np.cumsum(fresh_key)[head] - 1
+            first = np.flatnonzero(fresh_key[head])[key_of]  # first run of each run's key
+            size = np.bincount(key_of)[key_of]
+            lead = first == np.arange(len(head))
+            left = [np.flatnonzero((lead & (size > 1))[run_of])]
+            right = [head[run_of[left[0]] + 1]]
             for k in range(1, back + 1):
-                own = np.flatnonzero(doc - k >= first[doc])
+                own = np.flatnonzero(run_of - k >= first[run_of])
                 left.append(own)
-                right.append(head[doc[own] - k])
+                right.append(head[run_of[own] - k])
             i, j = np.concatenate(left), np.concatenate(right)
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (uid[i], uid[j], *(v[i] for v in vals), *(v[j] for v in vals))], names=names)
-
-    dealt = rows.select("key", "salt", "uid", *columns).repartition(partitions(spark), "key", "salt").sortWithinPartitions("key", "salt", "uid", *columns)
+            # the next run may be the same document's in another place of the order
+            other = uid[i] != uid[j]
+            i, j = i[other], j[other]
+            met = np.zeros(len(key), bool)
+            met[i] = True
+            alone = np.flatnonzero(~met)
+            low = lo[0][alone] != uid[alone]
+            one = [np.where(low, x[alone], y[alone]) for x, y in zip(lo, hi)]
+            a, b = np.concatenate((uid[i], uid[alone])), np.concatenate((uid[j], one[0]))
+            own = [np.concatenate((v[i], v[alone])) for v in vals]
+            its = [np.concatenate((v[j], o)) for v, o in zip(vals, one[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, *own, *its)], names=names)
+
+    ends = [F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in ("lo", "hi") for c in ("uid", *columns)]
+    by = ["key", *order, "uid", *columns]
+    dealt = rows.select("key", *order, "uid", *columns, *ends).repartitionByRange(partitions(spark), *dict.fromkeys(by)).sortWithinPartitions(*dict.fromkeys(by))
     return dealt.mapInArrow(run, ddl)
 
 
@@ -155,6 +168,7 @@ def confirm(stash: Stash, pairs: DataFrame, texts: DataFrame, check: Callable[[s
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
 
     found = stash.put(both.mapInArrow(run, "uid long, start long, end long, other long, o_start long, o_end long"), "found")
+    stash.keep(found, own)
     return passages(found, own)
 
 

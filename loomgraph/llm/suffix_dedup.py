@@ -1,15 +1,18 @@
 """Operator 9: repeated passages by sparse suffix arrays.
 
 Of all suffixes of a text only those are retained that start at a minimiser:
-the word 8-gram with the least hash among 32 in a row. A passage of 39 words or
-more has the same minimisers wherever it occurs. Suffixes are sorted by their
-next 30 words, and also by the 28 words around the start (20 before it), since
-of 50 common words at least one of the two lies within them. Where just two
-suffixes are alike, they are compared. Where there are more, neighbours need not
-be the ones with the longest match on both sides; there every 50 words in a row
-that include the start of a suffix are sorted as well, and any two documents that
-have them are compared. From the common start the match is extended word by word
-to the left and to the right, and reported if it has ``LEAST`` words or more.
+the word 8-gram with the least hash among 32 in a row. Of any ``LEAST`` words that
+two documents have in common, one that has ``RIGHT`` of them to its right is
+retained in both. Suffixes are brought into order by their first ``RIGHT`` words;
+those that no other document has there are dropped. Where just two suffixes are
+alike they are neighbours and are compared. Where there are more, the neighbour
+with the longest match to the right need not have the longest one on both sides:
+there the suffixes that start up to ``LEAST - RIGHT`` words before are retained as
+well, all are sorted by their first ``LEAST`` words, and neighbours of different
+documents that agree in all of these are compared. From the common start the match
+is extended word by word to the left and to the right, and reported if it has
+``LEAST`` words or more. The sorted order is dealt by ranges, so that the suffixes
+of a passage that very many documents share are no hot group.
 """
 
 from __future__ import annotations
@@ -25,8 +28,7 @@ from loomgraph.llm._passages import Found, confirm, identified, minima, neighbou
 from loomgraph.llm._shared import U64, Stash, documents, grams, mix, word_hashes
 
 GRAM, WINDOW = 8, 32
-RIGHT, LEFT = 30, 20
-LEAST = 50
+RIGHT, LEAST = 19, 50
 
 
 def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -47,14 +49,11 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
                 last = i
         p = np.array(kept)
 
-    def key(at: np.ndarray, length: int, kind: int) -> np.ndarray:
-        out = np.full(len(at), kind, U64)
-        for i in range(length):
-            out = out * U64(0x9E3779B97F4A7C15) + h[at + i]
-        return mix(out).view(np.int64)
-
-    r, le = p[p + RIGHT <= n], p[(p >= LEFT) & (p + GRAM <= n)]
-    return np.concatenate((key(r, RIGHT, 1), key(le - LEFT, LEFT + GRAM, 2))), np.concatenate((r, le))
+    p = p[p + RIGHT <= n]
+    key = np.zeros(len(p), U64)
+    for i in range(RIGHT):
+        key = key * U64(0x9E3779B97F4A7C15) + h[p + i]
+    return mix(key).view(np.int64), p
 
 
 def _anchor_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,14 +70,14 @@ def _anchor_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts and starts of suffixes -> all runs of ``LEAST`` words around a suffix's 8-gram."""
+    """Texts and starts of suffixes -> first ``LEAST`` words of these suffixes and of those up to ``LEAST - RIGHT`` words before."""
     for big in it:
         for at in range(0, big.num_rows, 200):
             for u, t, starts in zip(*(big.slice(at, 200).column(i).to_pylist() for i in range(3))):
                 g = grams(word_hashes(t), LEAST)
                 edge = np.zeros(len(g) + 1, np.int64)
                 for p in starts:
-                    edge[max(0, p + GRAM - LEAST)] += 1
+                    edge[min(max(0, p + RIGHT - LEAST), len(g))] += 1
                     edge[min(p + 1, len(g))] -= 1
                 pos = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
                 yield pa.RecordBatch.from_arrays([pa.array(g[pos].view(np.int64)), pa.array(np.full(len(pos), u, np.int64)), pa.array(pos.astype(np.int32))], names=["key", "uid", "pos"])
@@ -121,15 +120,13 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     stash = Stash(docs.sparkSession, "suffixes")
     d = identified(docs, doc_id, text)
-    rows = stash.put(d.select("uid", "text").mapInArrow(_anchor_rows, "key long, uid long, pos int"), "suffixes")
-    many = stash.put(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key", "n"), "shared")
-    alike = stash.put(rows.join(many, "key"), "alike")
-    stash.drop(rows, many)
-    two = neighbours(alike.where("n = 2").withColumn("salt", F.lit(0).cast("long")), ["pos"], back=1)
-    starts = alike.where("n > 2").groupBy("uid").agg(F.collect_set("pos").alias("starts"))
-    windows = d.select("uid", "text").join(starts, "uid").select("uid", "text", "starts").mapInArrow(_windows, "key long, uid long, pos int")
-    # seeds of windows are sure to be a match, those of two suffixes are not and stay as they are
-    met = two.withColumn("sure", F.lit(0)).unionAll(neighbours(repeated(stash, windows), ["pos"], back=1).withColumn("sure", F.lit(1)))
+    rows = repeated(stash, d.select("uid", "text").mapInArrow(_anchor_rows, "key long, uid long, pos int"), ["pos"])
+    side = lambda x, y: F.struct(F.col(f"{x}.uid").alias("a"), F.col(f"{y}.uid").alias("b"), F.col(f"{x}.pos").alias("pos"), F.col(f"{y}.pos").alias("pos_b"))
+    two = rows.where("n = 2 and uid = lo.uid").select(F.explode(F.array(side("lo", "hi"), side("hi", "lo"))).alias("p")).select("p.*")
+    starts = rows.where("n > 2").groupBy("uid").agg(F.collect_set("pos").alias("starts"))
+    dense = d.select("uid", "text").join(starts, "uid").select("uid", "text", "starts").mapInArrow(_windows, "key long, uid long, pos int")
+    # dense neighbours are sure to be a match, those of two suffixes are not and stay as they are
+    met = two.withColumn("sure", F.lit(0)).unionAll(neighbours(repeated(stash, dense, ["pos"]), [], ["pos"]).withColumn("sure", F.lit(1)))
     # matches of LEAST words that begin less than that apart at one distance are one
     met = met.groupBy("a", "b", (F.col("pos") - F.col("pos_b")).alias("apart"), F.when(F.col("sure") == 1, F.floor(F.col("pos") / LEAST)).otherwise(-1 - F.col("pos")).alias("part")).agg(F.min("pos").alias("pos"))
     pairs = met.select("a", "b", F.struct("pos", (F.col("pos") - F.col("apart")).alias("pos_b")).alias("seed")).groupBy("a", "b").agg(F.collect_set("seed").alias("seeds"))
