@@ -5,7 +5,7 @@ import collections
 import numpy as np
 import pytest
 
-from loomgraph.llm import _passages, near_dedup, suffix_dedup, window_dedup
+from loomgraph.llm import near_dedup, suffix_dedup, window_dedup
 from loomgraph.llm._shared import shingle_set
 
 
@@ -90,9 +90,9 @@ def test_two_passages_of_one_chain():
 
 
 @pytest.mark.parametrize("find", [suffix_dedup.repeated_passages, window_dedup.near_passages])
-def test_passage_many_times_in_one_document(spark, monkeypatch, find):
-    """Sub-groups of a crowded key keep no document from its only partner."""
-    monkeypatch.setattr(_passages, "CROWD", 8)
+def test_passage_many_times_in_one_document(spark, find):
+    """Ranges that part a key keep no document from its only partner."""
+    spark.conf.set("spark.sql.shuffle.partitions", "13")  # a key's rows are dealt to several tasks
     rng = np.random.default_rng(3)
     text = lambda n: [f"q{x}" for x in rng.integers(0, 10**6, n)]
     rows = []
@@ -101,6 +101,7 @@ def test_passage_many_times_in_one_document(spark, monkeypatch, find):
         rows.append((i, " ".join(w for _ in range(40) for w in p + text(9))))
         rows.append((i + 1, " ".join(text(50) + p + text(50))))
     got = find(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "other_doc_id").collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert {tuple(r) for r in got} == {(i, i ^ 1) for i in range(12)}
 
 
@@ -117,3 +118,43 @@ def test_passages_of_loose_copies(spark):
         first = " ".join(texts[r.doc_id])[: r.start].count(" ")
         got |= {(r.doc_id, k) for k in range(first, first + r.n_words)}
     assert got == want
+
+
+def test_compact_windows_are_nodes_of_the_cartesian_tree():
+    rng = np.random.default_rng(21)
+    for n in (46, 60, 300, 1500):
+        g = rng.integers(0, 2**63, n, dtype=np.uint64)
+        key, fn, lo, c, hi, _ = window_dedup.compact_windows(g)
+        got = {tuple(x) for x in zip(fn.tolist(), lo.tolist(), c.tolist(), hi.tolist())}
+        want = set()
+        for k, seed in enumerate(window_dedup._SEEDS):
+            v = window_dedup.mix(g ^ seed).tolist()
+
+            def node(a, b):
+                if b - a + 1 < window_dedup.SPAN:
+                    return
+                m = min(range(a, b + 1), key=v.__getitem__)
+                want.add((k, a, m, b))
+                node(a, m - 1)
+                node(m + 1, b)
+
+            node(0, n - 1)
+        assert got == want
+
+
+def test_near_passages_of_many_documents(spark):
+    """Recall in a crowd: one passage in 300 documents, each with its own edits, at 0.75 or more to some other."""
+    rng = np.random.default_rng(31)
+    base = [f"w{i}" for i in range(110)]
+    rows, where = [], {}
+    for d in range(300):
+        p = edited(rng, base, int(rng.integers(0, 4)))
+        front = [f"q{x}" for x in rng.integers(0, 10**9, 40)]
+        rows.append((d, " ".join([*front, *p, *(f"z{x}" for x in rng.integers(0, 10**9, 40))])))
+        where[d] = range(40, 150)
+    found = window_dedup.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = collections.Counter()
+    for r in found:
+        first = dict(rows)[r.doc_id][: r.start].count(" ")
+        got[r.doc_id] += len(set(range(first, first + r.n_words)) & set(where[r.doc_id]))
+    assert sum(got.values()) >= 0.97 * 110 * 300
