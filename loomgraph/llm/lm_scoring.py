@@ -21,8 +21,8 @@ key space, along with the group's own training counts. A shard adds up the count
 of all messages and answers with the totals of those n-grams that other groups
 have too, marked by a bit each, so nearly all that is shuffled are the keys, each
 once for each group. Group and shard sizes rise with the square root of the
-corpus, from 8 and 16 MB of text to 64 and 128 MB; at 100 TB a message still holds
-some 20 n-grams, and the number of messages stays far below that of n-grams. The
+corpus, from 4 and 16 MB of text to 32 and 128 MB; at 100 TB a message still holds
+some 10 n-grams, and the number of messages stays far below that of n-grams. The
 part of the automaton that a group's texts can reach is built from the answers.
 """
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from loomgraph.llm._shared import U64, Stash, crc_mod, documents, groups, mix, partitions, word_hashes
 
 #: Least and most bytes of text in a group, and of text whose n-grams a shard holds.
-GROUP_BYTES, GROUP_MOST = 8_000_000, 64_000_000
+GROUP_BYTES, GROUP_MOST = 4_000_000, 32_000_000
 SHARD_BYTES, SHARD_MOST = 16_000_000, 128_000_000
 #: Texts are walked in segments of as many tokens, side by side.
 SEGMENT = 512
