@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from loomgraph.llm._shared import ASCII_SPACE, U64, Stash, partitions, with_texts
 
 PLACE_BITS = 20
+#: The rows of a key with more of them may be dealt to several tasks.
+WHOLE = 4096
 
 
 def sliding_minimum(v: np.ndarray, width: int) -> np.ndarray:
@@ -61,11 +63,17 @@ def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return d.select(F.xxhash64("doc_id", "text").alias("uid"), "doc_id", "text")
 
 
-def repeated(stash: Stash, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows ``key, uid, ...`` whose key more than one document has, with the key's number of rows ``n``, least and greatest one."""
+def repeated(stash: Stash, rows: DataFrame, columns: list[str], ends: bool = False) -> DataFrame:
+    """Rows ``key, uid, ...`` whose key more than one document has, with the key's number of rows ``n``.
+
+    ``lo`` and ``hi`` are the key's least and greatest row, null where it has at
+    most ``WHOLE`` rows, unless ``ends`` asks for them.
+    """
     rows = stash.put(rows, "anchors")
     row = F.struct("uid", *columns)
     many = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(row).alias("lo"), F.max(row).alias("hi")).where("lo.uid < hi.uid")
+    if not ends:
+        many = many.select("key", "n", *(F.when(F.col("n") > WHOLE, F.col(c)).alias(c) for c in ("lo", "hi")))
     many = stash.put(many, "keys")
     both = stash.put(rows.join(many, "key"), "repeated")
     stash.drop(rows, many)
@@ -75,9 +83,9 @@ def repeated(stash: Stash, rows: DataFrame, columns: list[str]) -> DataFrame:
 def neighbours(rows: DataFrame, order: list[str], columns: list[str], back: int = 1) -> DataFrame:
     """Pairs ``a, b`` of documents next to each other under a key, with both rows' ``columns``.
 
-    Rows ``key, uid, *columns, lo, hi`` are sorted by key, ``order`` and uid, and
-    dealt by ranges of all of these, so that the rows of a frequent key go to as
-    many tasks as they need. Each row meets the nearest row before it of the
+    Rows ``key, uid, *columns, n, lo, hi`` are sorted by key, ``order`` and uid, and
+    dealt by ranges: of keys, and for frequent ones of all of these, so that their
+    rows go to as many tasks as they need. Each row meets the nearest row before it of the
     ``back`` documents before it; those of a key's first document in a task meet
     the next one's. A document that is alone with a key in its task meets the
     key's least or greatest row, so none is left without a partner.
@@ -92,7 +100,7 @@ def neighbours(rows: DataFrame, order: list[str], columns: list[str], back: int
         for cols in whole_groups(it, 1):
             key, near, uid = cols[0], cols[1 : 1 + n_order], cols[1 + n_order]
             at = 2 + n_order + n_cols
-            vals, lo, hi = cols[2 + n_order : at], cols[at : at + n_cols + 1], cols[at + n_cols + 1 :]
+            vals, n, lo, hi = cols[2 + n_order : at], cols[at], cols[at + 1 : at + n_cols + 2], cols[at + n_cols + 2 :]
             fresh_key = np.concatenate(([True], key[1:] != key[:-1]))
             fresh = fresh_key | np.concatenate(([True], uid[1:] != uid[:-1]))
             for c in near:
@@ -115,17 +123,19 @@ def neighbours(rows: DataFrame, order: list[str], columns: list[str], back: int
             i, j = i[other], j[other]
             met = np.zeros(len(key), bool)
             met[i] = True
-            alone = np.flatnonzero(~met)
+            alone = np.flatnonzero(~met & (n > WHOLE))
             low = lo[0][alone] != uid[alone]
             one = [np.where(low, x[alone], y[alone]) for x, y in zip(lo, hi)]
             a, b = np.concatenate((uid[i], uid[alone])), np.concatenate((uid[j], one[0]))
             own = [np.concatenate((v[i], v[alone])) for v in vals]
-            its = [np.concatenate((v[j], o)) for v, o in zip(vals, one[1:])]
+            its = [np.concatenate((v[j], o.astype(v.dtype))) for v, o in zip(vals, one[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, *own, *its)], names=names)
 
-    ends = [F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in ("lo", "hi") for c in ("uid", *columns)]
+    frequent = F.col("n") > WHOLE
+    ends = [F.when(frequent, F.col(f"{e}.{c}")).otherwise(0).alias(f"{e}_{c}") for e in ("lo", "hi") for c in ("uid", *columns)]
     by = ["key", *order, "uid", *columns]
-    dealt = rows.select("key", *order, "uid", *columns, *ends).repartitionByRange(partitions(spark), *dict.fromkeys(by)).sortWithinPartitions(*dict.fromkeys(by))
+    ranges = [F.when(frequent, F.col(c)).otherwise(0) for c in (*order, "uid")]
+    dealt = rows.select(*by, "n", *ends).repartitionByRange(partitions(spark), "key", *ranges).sortWithinPartitions(*by)
     return dealt.mapInArrow(run, ddl)
 
 

@@ -120,7 +120,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     stash = Stash(docs.sparkSession, "suffixes")
     d = identified(docs, doc_id, text)
-    rows = repeated(stash, d.select("uid", "text").mapInArrow(_anchor_rows, "key long, uid long, pos int"), ["pos"])
+    rows = repeated(stash, d.select("uid", "text").mapInArrow(_anchor_rows, "key long, uid long, pos int"), ["pos"], ends=True)
     side = lambda x, y: F.struct(F.col(f"{x}.uid").alias("a"), F.col(f"{y}.uid").alias("b"), F.col(f"{x}.pos").alias("pos"), F.col(f"{y}.pos").alias("pos_b"))
     two = rows.where("n = 2 and uid = lo.uid").select(F.explode(F.array(side("lo", "hi"), side("hi", "lo"))).alias("p")).select("p.*")
     starts = rows.where("n > 2").groupBy("uid").agg(F.collect_set("pos").alias("starts"))
