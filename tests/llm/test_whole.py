@@ -122,24 +122,24 @@ def test_passages_of_loose_copies(spark):
 
 def test_compact_windows_are_nodes_of_the_cartesian_tree():
     rng = np.random.default_rng(21)
-    for n in (46, 60, 300, 1500):
-        g = rng.integers(0, 2**63, n, dtype=np.uint64)
-        key, fn, lo, c, hi, _ = window_dedup.compact_windows(g)
-        got = {tuple(x) for x in zip(fn.tolist(), lo.tolist(), c.tolist(), hi.tolist())}
-        want = set()
+    texts = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (46, 60, 300, 1500, 47)]
+    doc, key, _, fn, lo, c, hi = window_dedup.compact_windows(texts)
+    got = {tuple(x) for x in zip(doc.tolist(), fn.tolist(), lo.tolist(), c.tolist(), hi.tolist())}
+    want = set()
+    for d, g in enumerate(texts):
         for k, seed in enumerate(window_dedup._SEEDS):
             v = window_dedup.mix(g ^ seed).tolist()
 
             def node(a, b):
                 if b - a + 1 < window_dedup.SPAN:
                     return
-                m = min(range(a, b + 1), key=v.__getitem__)
-                want.add((k, a, m, b))
+                m = min(range(a, b + 1), key=v.__getitem__)  # noqa: B023
+                want.add((d, k, a, m, b))  # noqa: B023
                 node(a, m - 1)
                 node(m + 1, b)
 
-            node(0, n - 1)
-        assert got == want
+            node(0, len(g) - 1)
+    assert got == want
 
 
 def test_near_passages_of_many_documents(spark):
