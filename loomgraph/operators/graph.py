@@ -154,9 +154,10 @@ def orphans(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def referrers(edges: DataFrame, nodes: DataFrame, n: int = 10, by_ord: bool = False) -> DataFrame:
     """For each page its top referring pages, with how many there are in all."""
     c = internal_edges(edges, nodes).groupBy("target", "source").agg(F.count("*").alias("n_links"), F.min("ord").alias("first"))
-    w = Window.partitionBy("target")
-    rank = F.row_number().over(w.orderBy(F.desc("n_links"), "first" if by_ord else "source", "source"))
-    return c.select("target", "source", "n_links", rank.alias("rank"), F.count("*").over(w).alias("n_referrers")).where(F.col("rank") <= n)
+    every = c.groupBy("target").agg(F.count("*").alias("n_referrers"))
+    rank = F.row_number().over(Window.partitionBy("target").orderBy(F.desc("n_links"), "first" if by_ord else "source", "source"))
+    best = c.select("target", "source", "n_links", rank.alias("rank")).where(F.col("rank") <= n)
+    return best.join(every, "target")
 
 
 def first_links(edges: DataFrame, n: int | None = None) -> DataFrame:

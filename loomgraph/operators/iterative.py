@@ -7,32 +7,49 @@ executors share, so the lineage stays short and a lost executor costs a re-read.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read from reliable storage from now on."""
-    spark: SparkSession = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir`` or of the session; a temporary one only in a local process."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loom-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loom-checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read from reliable storage from now on."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, so that later reads skip columns and row groups."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bfs_levels(edges: DataFrame, seeds: DataFrame, depth: int | None = None) -> DataFrame:
     """``id, level`` of all that is reachable from ``seeds(id)`` along edges."""
     step = edges.select(F.col("source").alias("id"), "target").distinct()
-    seen = cut(seeds.select("id").distinct().withColumn("level", F.lit(0)))
-    frontier, level = seen, 0
+    step = stored(step)
+    frontier = seen = stored(seeds.select("id").distinct().withColumn("level", F.lit(0)))
+    level = 0
     while depth is None or level < depth:
         level += 1
         fresh = frontier.join(step, "id").select(F.col("target").alias("id")).distinct().join(seen, "id", "left_anti")
-        frontier = cut(fresh.withColumn("level", F.lit(level)))
+        frontier = stored(fresh.withColumn("level", F.lit(level)))  # each level is written once; what has been seen is their union
         if frontier.isEmpty():
             break
-        seen = cut(seen.unionAll(frontier))
+        seen = seen.unionAll(frontier)
     return seen
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomgraph.functions import classify, cleaning, facts, fixed, markup, text
 from loomgraph.operators import graph, iterative
@@ -85,7 +86,7 @@ Provider = Callable[[str], str]
 
 def ask(rows: DataFrame, provider: Provider, prompt: str = "prompt", reply: str = "reply") -> DataFrame:
     """``rows`` with the provider's reply to each prompt; 'error' where it raises."""
-    schema = rows.schema.add(reply, "string")
+    schema = T.StructType([*rows.schema.fields, T.StructField(reply, T.StringType())])
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def one(p: str) -> str:

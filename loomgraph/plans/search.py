@@ -6,12 +6,15 @@ table that joins the postings, and one query is a batch of one row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions import fixed, terms
+from loomgraph.functions.markup import let
+from loomgraph.operators import iterative
 
 K1, B = 1.5, 0.75
 WINDOW, PROXIMITY = 30, 0.3
@@ -48,18 +51,19 @@ def positions(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", F.posexplode(terms.index_tokens(F.col("title"), F.col("content"))).alias("pos", "word"))
 
 
-def build(nodes: DataFrame) -> Index:
+def build(nodes: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Index:
     """Index of nodes(id, ord, title, content, subtype). Words are stemmed once each, not
-    at each occurrence, where the vocabulary is smaller than the text."""
+    at each occurrence, where the vocabulary is smaller than the text. ``keep`` may write
+    each table down, so that it is computed once for all uses."""
     tokens = positions(nodes)
     stems_of = tokens.select("word").distinct().withColumn("stem", terms.stem(F.col("word")))
-    postings = tokens.join(stems_of, "word").groupBy("stem", "id").agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
-    docs = nodes.select("id", "ord", "title", "subtype", F.size(terms.index_tokens(F.col("title"), F.col("content"))).alias("length"))
+    postings = keep(tokens.join(stems_of, "word").groupBy("stem", "id").agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")))
+    docs = keep(nodes.select("id", "ord", "title", "subtype", F.size(terms.index_tokens(F.col("title"), F.col("content"))).alias("length")))
     corpus = docs.agg(F.count("*").alias("n"), (F.sum("length") / F.greatest(F.count("*"), F.lit(1))).alias("avgdl"))
     df = postings.groupBy("stem").agg(F.count("*").alias("df"))
     idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    stems = df.crossJoin(F.broadcast(corpus)).select("stem", "df", idf.alias("idf"))  # one row
-    words = nodes.select(F.explode(terms.raw_words(F.concat_ws(" ", "title", "content"))).alias("word")).distinct()
+    stems = keep(df.crossJoin(F.broadcast(corpus)).select("stem", "df", idf.alias("idf")))  # one row
+    words = keep(nodes.select(F.explode(terms.raw_words(F.concat_ws(" ", "title", "content"))).alias("word")).distinct())
     return Index(postings, docs, stems, words, corpus)
 
 
@@ -86,12 +90,19 @@ def query_stems(index: Index, queries: DataFrame, spelling: bool = True) -> Data
 
 
 def near_terms(found: Column, window: int = WINDOW) -> Column:
-    """How many of ``found(stem, positions)`` have another one within ``window`` positions."""
+    """How many of ``found(stem, positions)`` have another one within ``window`` positions.
 
-    def close(x: Column) -> Column:
-        return F.exists(found, lambda y: (y["stem"] != x["stem"]) & F.exists(x["positions"], lambda p: F.exists(y["positions"], lambda r: F.abs(p - r) <= window)))
+    Of all positions in order, a stem is near another one just if it is so at two that
+    follow each other, so one pass over them will do.
+    """
+    spots = F.array_sort(F.flatten(F.transform(found, lambda f: F.transform(f["positions"], lambda p: F.struct(p.alias("p"), f["stem"].alias("s"))))))
 
-    return F.size(F.filter(found, close))
+    def close(s: Column) -> Column:
+        pairs = F.arrays_zip(F.slice(s, F.lit(1), F.size(s) - 1).alias("x"), F.slice(s, F.lit(2), F.size(s) - 1).alias("y"))
+        near = F.filter(pairs, lambda v: (v["x"]["s"] != v["y"]["s"]) & (v["y"]["p"] - v["x"]["p"] <= window))
+        return F.size(F.array_distinct(F.flatten(F.transform(near, lambda v: F.array(v["x"]["s"], v["y"]["s"])))))
+
+    return let(spots, close)
 
 
 def bm25(index: Index, queries: DataFrame, limit: int | None = PRIMARY_TOP, spelling: bool = True, proximity: float = PROXIMITY, window: int = WINDOW) -> DataFrame:
@@ -126,14 +137,17 @@ class Weights:
     fallback: bool = True
 
 
-def fused(index: Index, queries: DataFrame, weights: Weights = Weights()) -> DataFrame:
+def fused(index: Index, queries: DataFrame, weights: Weights = Weights(), keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``qid, id, score``: the query's scores and those of up to nine expansions, each over its own maximum."""
     kinds = query_kinds(index, queries, weights)
     w = Window.partitionBy("qid")
-    first = bm25(index, queries).withColumn("part", F.col("score") / F.max("score").over(w)).join(kinds, "qid").select("qid", "id", "ord", (F.col("part") * F.col("w_own")).alias("part"))
     more = queries.select("qid", F.posexplode(F.slice(terms.expand(F.col("query")), 2, 9)).alias("i", "term"))
     sub = more.select(F.concat_ws("\x1f", "qid", F.col("i").cast("string")).alias("qid"), F.col("term").alias("query"))
-    second = bm25(index, sub, EXPANDED_TOP).withColumn("part", F.col("score") / F.max("score").over(w)).withColumn("qid", F.substring_index("qid", "\x1f", 1))
+    # the query and its expansions are one batch
+    every = bm25(index, queries.select("qid", "query").unionAll(sub), PRIMARY_TOP).withColumn("part", F.col("score") / F.max("score").over(w))
+    every = keep(every.withColumn("own", ~F.contains("qid", F.lit("\x1f"))).where(F.col("own") | (F.col("rank") <= EXPANDED_TOP)))
+    first = every.where("own").join(kinds, "qid").select("qid", "id", "ord", (F.col("part") * F.col("w_own")).alias("part"))
+    second = every.where("not own").withColumn("qid", F.substring_index("qid", "\x1f", 1))
     second = second.join(kinds, "qid").select("qid", "id", "ord", (F.col("part") * F.col("w_more")).alias("part"))
     # without a hit of the query itself there is no ranking
     second = second.join(first.select("qid").distinct(), "qid", "left_semi")
@@ -159,12 +173,12 @@ def neighbor_votes(scored: DataFrame, pairs: DataFrame, zone: int = HOT_ZONE) ->
     return hot.join(pairs, "neighbor").join(scored.select("qid", "id"), ["qid", "id"]).groupBy("qid", "id").agg(F.count("*").alias("votes"))
 
 
-def search(index: Index, queries: DataFrame, pairs: DataFrame, ranks: DataFrame, limit: int = 10, subtype: str | None = None, weights: Weights = Weights()) -> DataFrame:
+def search(index: Index, queries: DataFrame, pairs: DataFrame, ranks: DataFrame, limit: int = 10, subtype: str | None = None, weights: Weights = Weights(), keep: Callable[[DataFrame], DataFrame] = iterative.stored) -> DataFrame:
     """``qid, rank, id, title, subtype, score``: fused scores, boosted by neighbours, PageRank,
-    type and title. A query without hits falls back to the top pages by PageRank, of all types."""
-    s = fused(index, queries, weights)
+    type and title. A query without hits falls back to the top pages by PageRank, of all types.
+    Candidates, at most some hundred a query, are written down by ``keep``, as several steps read them."""
     docs = index.docs.select("id", "title", "subtype")
-    s = s.join(docs, "id")
+    s = keep(fused(index, queries, weights, keep).join(docs, "id"))
     lead = top(s, 1).select("qid", F.col("subtype").alias("lead"))
     votes = neighbor_votes(s.select("qid", "id", "ord", "score"), pairs)
     t = queries.select("qid", F.explode(terms.query_tokens(F.col("query"))).alias("word"))

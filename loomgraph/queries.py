@@ -547,12 +547,12 @@ def postings(spark, d):
 
 @query(f"WITH {CORPUS}, {TOKENS}, {ASKED}, {BM25} SELECT qid, id, round(score, 6) AS score, n_near, rank FROM ranked WHERE rank <= 200")
 def bm25_topk(spark, d):
-    return search.bm25(search.build(corpus(spark, d)), asked(spark, d)).select("qid", "id", F.round("score", 6).alias("score"), "n_near", "rank")
+    return search.bm25(search.build(corpus(spark, d), iterative.stored), asked(spark, d)).select("qid", "id", F.round("score", 6).alias("score"), "n_near", "rank")
 
 
 @query(f"WITH {CORPUS}, {TOKENS}, u AS (SELECT DISTINCT word || 'q' AS word FROM raw_vocab WHERE len(word) BETWEEN 5 AND 6), odd AS (SELECT word FROM u WHERE word NOT IN (SELECT word FROM raw_vocab) AND word NOT IN (SELECT stem FROM stems)), m AS (SELECT o.word, min({{'d': levenshtein(o.word, v.word), 'c': v.word}}) AS m FROM odd o JOIN raw_vocab v ON left(o.word, 2) = left(v.word, 2) AND abs(len(o.word) - len(v.word)) <= 3 WHERE levenshtein(o.word, v.word) <= 2 GROUP BY o.word) SELECT word, m.c AS correction, m.d::INTEGER AS distance FROM m")
 def spell_correct(spark, d):
-    i = search.build(corpus(spark, d))
+    i = search.build(corpus(spark, d), iterative.stored)
     odd = i.vocabulary.where("length(word) between 5 and 6").select(F.concat("word", F.lit("q")).alias("word"))
     return search.corrections(i, odd)
 
@@ -560,25 +560,25 @@ def spell_correct(spark, d):
 @query()
 def spell_correct_all(spark, d):
     """Misspellings of the whole vocabulary."""
-    i = search.build(corpus(spark, d))
+    i = search.build(corpus(spark, d), iterative.stored)
     return search.corrections(i, i.vocabulary.select(F.concat("word", F.lit("q")).alias("word")))
 
 
 def _index(spark, d):
     n = corpus(spark, d)
     e = doc_edges(n)
-    return search.build(n), graph.neighbor_pairs(e), iterative.pagerank(e, rounds=10, tolerance=None)
+    return search.build(n, iterative.stored), graph.neighbor_pairs(e), iterative.pagerank(iterative.stored(e), rounds=10, tolerance=None)
 
 
 @query()
 def fused_scores(spark, d):
-    return search.fused(search.build(corpus(spark, d)), asked(spark, d)).drop("ord")
+    return search.fused(search.build(corpus(spark, d), iterative.stored), asked(spark, d)).drop("ord")
 
 
 @query(f"WITH {CORPUS}, {TOKENS}, {ASKED}, {BM25}, {DOC_EDGES}, hot AS (SELECT qid, id FROM ranked WHERE rank <= 40), np AS (SELECT source AS id, target AS nb FROM doc_edges UNION SELECT target, source FROM doc_edges), s AS (SELECT qid, id FROM ranked WHERE rank <= 200) SELECT s.qid, s.id, count(*) AS votes FROM s JOIN np USING (id) JOIN hot ON hot.qid = s.qid AND hot.id = np.nb GROUP BY s.qid, s.id")
 def neighbor_vote(spark, d):
     n = corpus(spark, d)
-    s = search.bm25(search.build(n), asked(spark, d)).drop("rank")
+    s = search.bm25(search.build(n, iterative.stored), asked(spark, d)).drop("rank")
     return search.neighbor_votes(s, graph.neighbor_pairs(doc_edges(n)))
 
 
@@ -607,7 +607,7 @@ def precision_at_k(spark, d):
     n = corpus(spark, d)
     b = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("qid"), F.left("text", F.lit(60)).alias("start"))
     golden = n.join(b, F.col("content").contains(F.col("start"))).groupBy("qid").agg(F.collect_set("title").alias("expected"))
-    r = search.bm25(search.build(n), asked(spark, d), limit=5).join(n.select("id", "title"), "id")
+    r = search.bm25(search.build(n, iterative.stored), asked(spark, d), limit=5).join(n.select("id", "title"), "id")
     return search.precision(r, golden)
 
 
@@ -617,7 +617,7 @@ def sweep_best(spark, d):
     n = corpus(spark, d)
     b = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("qid"), F.left("text", F.lit(60)).alias("start"))
     golden = n.join(b, F.col("content").contains(F.col("start"))).groupBy("qid").agg(F.collect_set("title").alias("expected"))
-    index, runs = search.build(n), None
+    index, runs = search.build(n, iterative.stored), None
     for i, (k1, bb, window) in enumerate([(1.5, 0.75, 30), (1.2, 0.75, 30), (2.0, 0.75, 30), (1.5, 0.5, 30), (1.5, 0.9, 30), (1.5, 0.75, 10), (1.5, 0.75, 50)]):
         index.k1, index.b = k1, bb
         r = search.bm25(index, asked(spark, d), limit=5, window=window).join(n.select("id", "title"), "id")

@@ -20,4 +20,6 @@ def test_commands(spark, tmp_path, capsys):
     out = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
     assert {(r["name"], r["source"]) for r in out} == {("Start", "kb"), ("tw", "not_found")}
     cli.main(["search", g, "longer body", "--limit", "2"])
-    assert json.loads(capsys.readouterr().out)["results"][0]["id"] == "Twin_2"
+    # Start: (2 * 0.1161 / 1.6096 + 1.5 * 0.1161 / 0.1484) * 1.3 (neighbour) * 1.6 (PageRank) = 2.74; Twin_2: (2 + 1.5) * 0.6 (type) = 2.1
+    hits = json.loads(capsys.readouterr().out)["results"]
+    assert [(h["id"], round(h["score"], 2)) for h in hits] == [("Start", 2.74), ("Twin_2", 2.1)]
