@@ -7,7 +7,9 @@ within it the sorted order puts those with the longest common prefix next to
 each other, so that the depth at which neighbours part adapts to the region: the
 more crowded it is, the longer the prefixes that neighbours share. Each document
 is compared with the ``NEAR`` ones before and after it in every order, which in
-regions of up to ``NEAR + 1`` members is each with every other.
+regions of up to ``NEAR + 1`` members is each with every other. Direct neighbours
+come first: what they link needs no more links, so of the pairs further apart only
+those of different components are confirmed.
 
 Regions that hold more members than that, and whose members are then in more
 than one component, are cut into blocks, and all pairs of members of different
@@ -38,6 +40,8 @@ from loomgraph.llm._shared import U64, Stash, components, documents, groups, mix
 TREES, STEP = 24, 4
 #: Neighbours of a document on either side of it in an order.
 NEAR = 16
+#: Neighbours up to so many places apart are confirmed first.
+FIRST = 1
 #: A region with more members may be dealt to several tasks.
 WHOLE = 4096
 PERCENT = 75
@@ -115,7 +119,7 @@ def orders(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _neighbours(need: float):
-    """Sorted rows ``region, order, cls`` -> likely pairs of neighbours ``a < b``."""
+    """Sorted rows ``region, order, cls`` -> likely pairs of neighbours ``a < b``, and how many places they are apart."""
     width = TREES * STEP
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,27 +131,28 @@ def _neighbours(need: float):
                 region = np.concatenate((region, b.column(0).to_numpy()))
                 cls = np.concatenate((cls, b.column(2).to_numpy()))
                 sk = np.concatenate((sk, np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, width)))
-                left, right = [], []
+                left, right, apart = [], [], []
                 for step in range(1, min(NEAR, len(cls) - 1) + 1):
                     j = np.arange(max(held, step), len(cls))
                     j = j[region[j] == region[j - step]]
                     j = j[(sk[j] == sk[j - step]).sum(axis=1) >= need]
                     left.append(cls[j - step])
                     right.append(cls[j])
+                    apart.append(np.full(len(j), step, np.int32))
                 if left and len(x := np.concatenate(left)):
                     y = np.concatenate(right)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(apart))], names=["a", "b", "step"])
                 region, cls, sk = region[-NEAR:], cls[-NEAR:], sk[-NEAR:]
 
     return run
 
 
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs ``a < b`` of classes next to each other in some order."""
+    """Likely pairs ``a < b`` of classes near each other in some order, and their least ``step`` apart."""
     part = F.when(F.col("n") > WHOLE, F.concat("order", F.col("cls").cast("string").cast("binary"))).otherwise(F.lit(b""))
     rows = rows.withColumn("part", part).repartitionByRange(partitions(rows.sparkSession), "region", "part")
     rows = rows.select("region", "order", "cls").sortWithinPartitions("region", "order", "cls")
-    return rows.mapInArrow(_neighbours(_need(percent / 100)), "a long, b long").distinct()
+    return rows.mapInArrow(_neighbours(_need(percent / 100)), "a long, b long, step int").groupBy("a", "b").agg(F.min("step").alias("step"))
 
 
 def _need(least: float) -> float:
@@ -232,6 +237,21 @@ def _confirmed(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFra
     return links
 
 
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose ends are in different components."""
+    of = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    rows = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return rows.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
+def _linked(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Components after the links among ``pairs``; those ``joined`` so far count as stars, not by all their links."""
+    if pairs.isEmpty():
+        return joined
+    stars = joined.where("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return components(stash, stars.unionAll(_confirmed(stash, docs, classes, pairs, percent)))
+
+
 #: What tells one row from another: its text, and its doc_id, null or not.
 ROW = ("row", "no_id", "id")
 
@@ -262,15 +282,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows, crowded = orders(classes)
     pairs = stash.put(candidates(rows, percent), "likely")
     crowded = stash.put(crowded, "crowded")
-    links = _confirmed(stash, docs, classes, pairs, percent)
-    joined = components(stash, links)
+    joined = components(stash, _confirmed(stash, docs, classes, pairs.where(F.col("step") <= FIRST), percent))
+    rest = stash.put(_apart(pairs.where(F.col("step") > FIRST), joined), "rest")
+    joined = _linked(stash, docs, classes, rest, joined, percent)
     # the nearest ones of other components first, which leaves few for the pass over all
     for best in (BEST, None) if not crowded.isEmpty() else ():
         pairs = across(stash, crowded, classes.select("cls", "sketch"), joined, percent, best)
-        if pairs.isEmpty():
-            continue
-        links = links.unionAll(_confirmed(stash, docs, classes, pairs, percent))
-        joined = components(stash, links)
+        joined = _linked(stash, docs, classes, pairs, joined, percent)
     named = joined.join(first.select("cls", "rep"), joined.node == F.col("cls")).select("cls", "rep", "component")
     smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
     named = named.join(smallest, "component").select("cls", "smallest", "component")
