@@ -7,9 +7,9 @@ within it the sorted order puts those with the longest common prefix next to
 each other, so that the depth at which neighbours part adapts to the region: the
 more crowded it is, the longer the prefixes that neighbours share. Each document
 is compared with the ``NEAR`` ones before and after it in every order, which in
-regions of up to ``NEAR + 1`` members is each with every other. Direct neighbours
-come first: what they link needs no more links, so of the pairs further apart only
-those of different components are confirmed.
+regions of up to ``NEAR + 1`` members is each with every other. The most alike
+partners of each document come first: what they link needs no more links, so of the
+other pairs only those of different components are confirmed.
 
 Regions that hold more members than that, and whose members are then in more
 than one component, are cut into blocks, and all pairs of members of different
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm._shared import U64, Stash, components, documents, groups, mix, partitions, shingle_set, with_texts
@@ -40,8 +40,8 @@ from loomgraph.llm._shared import U64, Stash, components, documents, groups, mix
 TREES, STEP = 24, 4
 #: Neighbours of a document on either side of it in an order.
 NEAR = 16
-#: Neighbours up to so many places apart are confirmed first.
-FIRST = 1
+#: So many most alike partners of each class are confirmed in each round; the last one takes all that are left.
+ROUNDS = (2, 8, None)
 #: A region with more members may be dealt to several tasks.
 WHOLE = 4096
 PERCENT = 75
@@ -119,7 +119,7 @@ def orders(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _neighbours(need: float):
-    """Sorted rows ``region, order, cls`` -> likely pairs of neighbours ``a < b``, and how many places they are apart."""
+    """Sorted rows ``region, order, cls`` -> likely pairs of neighbours ``a < b``, and in how many places their sketches agree."""
     width = TREES * STEP
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,28 +131,29 @@ def _neighbours(need: float):
                 region = np.concatenate((region, b.column(0).to_numpy()))
                 cls = np.concatenate((cls, b.column(2).to_numpy()))
                 sk = np.concatenate((sk, np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, width)))
-                left, right, apart = [], [], []
+                left, right, alike = [], [], []
                 for step in range(1, min(NEAR, len(cls) - 1) + 1):
                     j = np.arange(max(held, step), len(cls))
                     j = j[region[j] == region[j - step]]
-                    j = j[(sk[j] == sk[j - step]).sum(axis=1) >= need]
+                    same = (sk[j] == sk[j - step]).sum(axis=1)
+                    j, same = j[same >= need], same[same >= need]
                     left.append(cls[j - step])
                     right.append(cls[j])
-                    apart.append(np.full(len(j), step, np.int32))
+                    alike.append(same.astype(np.int32))
                 if left and len(x := np.concatenate(left)):
                     y = np.concatenate(right)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(apart))], names=["a", "b", "step"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(alike))], names=["a", "b", "same"])
                 region, cls, sk = region[-NEAR:], cls[-NEAR:], sk[-NEAR:]
 
     return run
 
 
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs ``a < b`` of classes near each other in some order, and their least ``step`` apart."""
+    """Likely pairs ``a < b`` of classes near each other in some order, and in how many places they agree."""
     part = F.when(F.col("n") > WHOLE, F.concat("order", F.col("cls").cast("string").cast("binary"))).otherwise(F.lit(b""))
     rows = rows.withColumn("part", part).repartitionByRange(partitions(rows.sparkSession), "region", "part")
     rows = rows.select("region", "order", "cls").sortWithinPartitions("region", "order", "cls")
-    return rows.mapInArrow(_neighbours(_need(percent / 100)), "a long, b long, step int").groupBy("a", "b").agg(F.min("step").alias("step"))
+    return rows.mapInArrow(_neighbours(_need(percent / 100)), "a long, b long, same int").groupBy("a", "b").agg(F.max("same").alias("same"))
 
 
 def _need(least: float) -> float:
@@ -237,11 +238,18 @@ def _confirmed(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFra
     return links
 
 
+def _best(pairs: DataFrame, n: int) -> DataFrame:
+    """Pairs ``a, b`` in which one is among the other's ``n`` most alike; a class has at most ``2 * NEAR * TREES``."""
+    both = pairs.select(F.col("a").alias("v"), "same", "a", "b").unionAll(pairs.select(F.col("b").alias("v"), "same", "a", "b"))
+    rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("same"), "a", "b"))
+    return both.withColumn("rank", rank).where(F.col("rank") <= n).select("a", "b").distinct()
+
+
 def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     """Those of ``pairs`` whose ends are in different components."""
     of = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     rows = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return rows.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+    return rows.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "same")
 
 
 def _linked(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
@@ -282,9 +290,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows, crowded = orders(classes)
     pairs = stash.put(candidates(rows, percent), "likely")
     crowded = stash.put(crowded, "crowded")
-    joined = components(stash, _confirmed(stash, docs, classes, pairs.where(F.col("step") <= FIRST), percent))
-    rest = stash.put(_apart(pairs.where(F.col("step") > FIRST), joined), "rest")
-    joined = _linked(stash, docs, classes, rest, joined, percent)
+    joined, tried = None, None
+    for best in ROUNDS:
+        if joined is not None:
+            pairs = stash.put(_apart(pairs.join(tried, ["a", "b"], "left_anti"), joined), "apart")
+        tried = pairs.select("a", "b") if best is None else stash.put(_best(pairs, best), "best")
+        joined = components(stash, _confirmed(stash, docs, classes, tried, percent)) if joined is None else _linked(stash, docs, classes, tried, joined, percent)
     # the nearest ones of other components first, which leaves few for the pass over all
     for best in (BEST, None) if not crowded.isEmpty() else ():
         pairs = across(stash, crowded, classes.select("cls", "sketch"), joined, percent, best)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,3 +143,91 @@ def summarise(nodes: DataFrame, provider: Provider | None, subtype: str = "tutor
         return c.limit(0).select("id", F.lit("").alias("summary"))
     asked = ask(c.select("id", text.prompt(F.col("title"), F.col("content"), chars).alias("prompt")), provider)
     return asked.where("reply != 'error'").select("id", F.trim("reply").alias("summary"))
+
+
+#: What a model is asked for.
+ASK_DEFINITION = "Define the subject of this page in one sentence. Answer with that sentence only.\n\nTitle: %s\nContent: %s"
+ASK_DETAILS = (
+    "Describe the input parameter of this page as one JSON object with the keys type (string), definition (string), "
+    "options (array of objects with value and description) and warnings (array of strings). Use empty values for what "
+    "the page does not say. Answer with the JSON only.\n\nTitle: %s\nContent: %s"
+)
+DETAILS = "type string, definition string, options array<struct<value: string, description: string>>, warnings array<string>"
+DETAILS_FIELDS = "type: string, definition: string, options: array<struct<value: string, description: string>>, warnings: array<string>"
+
+
+def define(enriched: DataFrame, provider: Provider | None, subtype: str = "domain", chars: int = 1500, done: DataFrame | None = None) -> DataFrame:
+    """``id, definition`` by a model for nodes of a subtype that have none; errors and empty replies are not stored."""
+    c = candidates(enriched, done, (subtype,)).where("coalesce(structured.definition, '') = ''")
+    if provider is None:
+        return c.limit(0).select("id", F.lit("").alias("definition"))
+    asked = ask(c.select("id", text.prompt(F.col("title"), F.coalesce("content", F.lit("")), chars, ASK_DEFINITION).alias("prompt")), provider)
+    found = F.regexp_replace(F.trim("reply"), '^"+|"+$', "").alias("definition")
+    return asked.where("reply != 'error'").select("id", found).where("definition != ''")
+
+
+def detail(enriched: DataFrame, provider: Provider | None, chars: int = 2500, done: DataFrame | None = None) -> DataFrame:
+    """``id, details`` by a model for parameters of unclear type; replies that are no JSON object are not stored."""
+    c = candidates(unclear_facts(enriched), done)
+    if provider is None:
+        return c.limit(0).select("id", F.from_json(F.lit(None).cast("string"), DETAILS).alias("details"))
+    asked = ask(c.select("id", text.prompt(F.col("title"), F.coalesce("content", F.lit("")), chars, ASK_DETAILS).alias("prompt")), provider)
+    body = text.unfence(F.col("reply"))
+    return asked.where("reply != 'error'").where(body.startswith("{")).select("id", F.from_json(body, DETAILS, {"mode": "PERMISSIVE"}).alias("details")).where("details is not null")
+
+
+def _filled(new: Column, old: Column) -> Column:
+    return F.when(F.length(new) > 0, new).otherwise(old)
+
+
+def _filled_list(new: Column, old: Column) -> Column:
+    return F.when(F.size(new) > 0, new).otherwise(old)
+
+
+def apply_found(enriched: DataFrame, definitions: DataFrame | None = None, details: DataFrame | None = None, summaries: DataFrame | None = None) -> DataFrame:
+    """Nodes with what models found in ``structured``: fields that are not empty replace those of the rules,
+    and a summary is kept as ``tutorial_summary``. ``structured`` is null where there is nothing."""
+    n = enriched
+    for found, name, empty in ((definitions, "definition", "string"), (details, "details", f"struct<{DETAILS_FIELDS}>"), (summaries, "summary", "string")):
+        new = f"_new_{name}"
+        n = n.withColumn(new, F.lit(None).cast(empty)) if found is None else n.join(found.select("id", F.col(name).alias(new)), "id", "left")
+    old, d = F.col("structured"), F.col("_new_details")
+    quick = F.when(old["quick_facts"].isNotNull() | (F.length(d["type"]) > 0), F.struct(
+        old["quick_facts"]["tag"].alias("tag"), _filled(d["type"], old["quick_facts"]["type"]).alias("type"),
+        old["quick_facts"]["default"].alias("default"), old["quick_facts"]["raw_description"].alias("raw_description"),
+    ))
+    before = old["tutorial_summary"] if "tutorial_summary" in enriched.schema["structured"].dataType.names else F.lit(None).cast("string")
+    merged = F.struct(
+        quick.alias("quick_facts"), _filled(d["definition"], _filled(F.col("_new_definition"), old["definition"])).alias("definition"),
+        _filled_list(d["options"], old["options"]).alias("options"), _filled_list(d["warnings"], old["warnings"]).alias("warnings"),
+        _filled(F.col("_new_summary"), before).alias("tutorial_summary"),
+    )
+    any_new = old.isNotNull() | d.isNotNull() | F.col("_new_definition").isNotNull() | F.col("_new_summary").isNotNull()
+    return n.withColumn("structured", F.when(any_new, merged)).drop("_new_definition", "_new_details", "_new_summary")
+
+
+def in_rounds(rows: DataFrame, step: Callable[[DataFrame, DataFrame | None], DataFrame], path: str, rounds: int = 16) -> DataFrame:
+    """All that ``step(rows, done)`` finds, appended to the Parquet folder ``path`` round by round.
+
+    A run that was broken off goes on where it was: ids in ``path`` are ``done`` and
+    not asked for again. A round has the rows of one residue of the id's hash."""
+    spark = rows.sparkSession
+    empty = step(rows.limit(0), None)
+    empty.write.mode("append").parquet(path)
+    for k in range(rounds):
+        part = rows.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == k)
+        step(part, spark.read.schema(empty.schema).parquet(path)).write.mode("append").parquet(path)
+    return spark.read.schema(empty.schema).parquet(path)
+
+
+def coverage(nodes: DataFrame) -> DataFrame:
+    """One row: ``n_parameters, n_with_facts, n_tutorials, n_with_summary, n_classified``."""
+    has = nodes.schema["structured"].dataType.names if "structured" in nodes.columns else ()
+    facts_there = F.col("structured.quick_facts").isNotNull() if "quick_facts" in has else F.lit(False)
+    summary_there = F.col("structured.tutorial_summary").isNotNull() if "tutorial_summary" in has else F.lit(False)
+    classified = F.col("llm_classified") if "llm_classified" in nodes.columns else F.lit(False)
+    return nodes.agg(
+        F.count_if(F.col("subtype") == "parameter").alias("n_parameters"), F.count_if((F.col("subtype") == "parameter") & facts_there).alias("n_with_facts"),
+        F.count_if(F.col("subtype") == "tutorial").alias("n_tutorials"), F.count_if((F.col("subtype") == "tutorial") & summary_there).alias("n_with_summary"),
+        F.count_if(classified).alias("n_classified"),
+    )
