@@ -171,6 +171,38 @@ def test_reclassify(mini):
     assert rows(build.apply_classes(n, c).where("llm_classified"), "id") == {("a",), ("f",)}
 
 
+def test_model_details(spark, tmp_path):
+    qf = "structured struct<quick_facts: struct<tag: string, type: string, default: string, raw_description: string>, definition: string, options: array<struct<value: string, description: string>>, warnings: array<string>>"
+    known = (("T", "unknown", "1", "raw"), "old", [("x", "y")], ["w"])
+    n = spark.createDataFrame(
+        [("d", "Domain", "domain", "text", None), ("e", "Other", "domain", None, None), ("p", "P", "parameter", "c", known), ("q", "Q", "parameter", "c", known), ("t", "Tut", "tutorial", "steps", None), ("z", None, "domain", "", None)],
+        f"id string, title string, subtype string, content string, {qf}",
+    )
+
+    def provider(prompt):
+        if "Title: Other" in prompt:
+            raise ValueError
+        if "JSON" in prompt:
+            return '```json\n{"type": "integer", "definition": "", "options": [{"value": "2", "description": "two"}], "warnings": []}\n```' if "Title: P" in prompt else "no idea"
+        return ' "A sentence." ' if "Domain" in prompt else "" if "Define" in prompt else "S"
+
+    d = build.in_rounds(n, lambda x, done: build.define(x, provider, done=done), str(tmp_path / "defs"), rounds=3)
+    assert rows(d, "id", "definition") == {("d", "A sentence.")}
+    asked_again = build.in_rounds(n.where("id = 'd'"), lambda x, done: build.define(x, lambda _: "new", done=done), str(tmp_path / "defs"), rounds=2)
+    assert rows(asked_again, "id", "definition") == {("d", "A sentence.")}
+    x = build.detail(n, provider)
+    assert rows(x, "id") == {("p",)}
+    out = build.apply_found(n, d, x, build.summarise(n, provider))
+    got = {r.id: r.structured for r in out.collect()}
+    assert got["d"].definition == "A sentence." and got["d"].quick_facts is None and got["e"] is None and got["z"] is None
+    assert (got["p"].quick_facts.type, got["p"].quick_facts.tag, got["p"].definition, got["p"].warnings) == ("integer", "T", "old", ["w"])
+    assert [tuple(o) for o in got["p"].options] == [("2", "two")]
+    assert got["q"].quick_facts.type == "unknown" and got["t"].tutorial_summary == "S"
+    assert tuple(build.coverage(out).first()) == (2, 2, 1, 1, 0)
+    assert build.define(n, None).count() == build.detail(n, None).count() == 0
+    assert build.apply_found(out).schema == out.schema
+
+
 def test_stream_ingest(spark, tmp_path):
     src = str(tmp_path / "in")
     spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(WIKI.items())], "id string, html string, ord long").write.parquet(src)
