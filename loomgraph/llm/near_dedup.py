@@ -13,7 +13,9 @@ other pairs only those of different components are confirmed.
 
 Regions that hold more members than that, and whose members are then in more
 than one component, are cut into blocks, and all pairs of members of different
-components are compared on their sketches, so no link between components is lost.
+components are compared on their sketches and then on the ``LOW`` least shingles of
+their sets, which for shorter documents are the sets themselves, so no link between
+components is lost and few other pairs leave a block.
 
 Documents with equal shingle sets form one class before the search, so exact
 copies cost nothing. Candidates whose signatures cannot come from sets as
@@ -49,6 +51,8 @@ PERCENT = 75
 BLOCK = 512
 #: Partners of a member in a block that are tried before all others.
 BEST = 8
+#: So many least shingle hashes of a member of a crowded region are kept; a set of fewer is kept whole.
+LOW = 512
 
 _RNG = np.random.default_rng(20240229)
 _MULT = _RNG.integers(1, 2**32, TREES * STEP, dtype=np.uint64) * U64(2) + U64(1)
@@ -163,14 +167,36 @@ def _need(least: float) -> float:
     return (least - 5.2 * sd) * width
 
 
-def _across(need: float, best: int | None):
-    """Rows ``region, bi, bj, blk, cls, component, sketch``, sorted -> likely pairs of two components."""
+def _lowest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``cls, text`` -> the ``LOW`` least shingle hashes, in order."""
+    for big in it:
+        for at in range(0, big.num_rows, 500):
+            b = big.slice(at, 500)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t)[:LOW].tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["cls", "low"])
+
+
+def may_link(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets can be as similar as asked, by their ``LOW`` least items; exact for sets of fewer.
+
+    The least items of the union are a random sample of it; five standard deviations are allowed for.
+    """
+    both = np.intersect1d(x, y, assume_unique=True)
+    if len(x) < LOW and len(y) < LOW:
+        return 100 * len(both) >= percent * (len(x) + len(y) - len(both))
+    least = percent / 100
+    edge = np.union1d(x, y)[LOW - 1]
+    return np.searchsorted(both, edge, "right") >= (least - 5.2 * (least * (1 - least) / LOW) ** 0.5) * LOW
+
+
+def _across(need: float, best: int | None, percent: int):
+    """Rows ``region, bi, bj, blk, cls, component, sketch, low``, sorted -> likely pairs of two components."""
     width = TREES * STEP
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(it, [0, 1, 2]):
             blk, cls, comp = (t.column(k).to_numpy() for k in (3, 4, 5))
             sk = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint8).reshape(-1, width)
+            low = [np.frombuffer(x, U64) for x in t.column(7).to_pylist()]
             bi, bj = t.column(1)[0].as_py(), t.column(2)[0].as_py()
             left, right = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
             for i in left.tolist():
@@ -182,6 +208,7 @@ def _across(need: float, best: int | None):
                 j, same = j[same >= need], same[same >= need]
                 if best is not None and len(j) > best:
                     j = j[np.argpartition(-same, best)[:best]]
+                j = j[np.fromiter((may_link(low[i], low[k], percent) for k in j.tolist()), bool, len(j))]
                 if len(j):
                     a, b = np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -189,7 +216,7 @@ def _across(need: float, best: int | None):
     return run
 
 
-def across(stash: Stash, crowded: DataFrame, sketches: DataFrame, joined: DataFrame, percent: int, best: int | None) -> DataFrame:
+def across(stash: Stash, docs: DataFrame, crowded: DataFrame, classes: DataFrame, joined: DataFrame, percent: int, best: int | None) -> DataFrame:
     """Likely pairs ``a < b`` of different components within crowded regions: all, or ``best`` a member and block.
 
     Regions of one component have none, however large they are.
@@ -198,10 +225,13 @@ def across(stash: Stash, crowded: DataFrame, sketches: DataFrame, joined: DataFr
     rows = crowded.join(joined.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     mixed = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("region")
     rows = rows.join(mixed, "region").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
+    rows = stash.put(rows, "mixed")
+    low = _texts(docs, classes, rows.select("cls").distinct()).mapInArrow(_lowest, "cls long, low binary")
+    kept = classes.select("cls", "sketch").join(low, "cls")
     other = F.explode(F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: F.struct(F.least(o, F.col("blk")).alias("bi"), F.greatest(o, F.col("blk")).alias("bj"))))
-    rows = rows.select("region", "blk", "cls", "component", other.alias("p")).join(sketches, "cls").select("region", "p.bi", "p.bj", "blk", "cls", "component", "sketch")
+    rows = rows.select("region", "blk", "cls", "component", other.alias("p")).join(kept, "cls").select("region", "p.bi", "p.bj", "blk", "cls", "component", "sketch", "low")
     rows = rows.repartition(partitions(spark), "region", "bi", "bj").sortWithinPartitions("region", "bi", "bj", "cls")
-    return stash.put(rows.mapInArrow(_across(_need(percent / 100), best), "a long, b long").distinct(), "across")
+    return stash.put(rows.mapInArrow(_across(_need(percent / 100), best, percent), "a long, b long").distinct(), "across")
 
 
 def _confirm(percent: int):
@@ -226,12 +256,17 @@ def _confirm(percent: int):
     return run
 
 
+def _texts(docs: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
+    """``cls, text`` of the classes in ``needed``: the text of the row that stands for each."""
+    needed = needed.join(classes.select("cls", *ROW), "cls")
+    text = F.col("text").cast("string")
+    return docs.select(*row_key(F.col("doc_id").cast("long"), row_hash(text)), text.alias("text")).join(needed, list(ROW)).select("cls", "text").dropDuplicates(["cls"])
+
+
 def _confirmed(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` whose full shingle sets are as similar as asked."""
-    needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct().join(classes.select("cls", *ROW), "cls")
-    text = F.col("text").cast("string")
-    texts = docs.select(*row_key(F.col("doc_id").cast("long"), row_hash(text)), text.alias("text")).join(needed, list(ROW)).select("cls", "text").dropDuplicates(["cls"])
-    texts = stash.put(texts, "texts")
+    needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
+    texts = stash.put(_texts(docs, classes, needed), "texts")
     links = with_texts(pairs, texts, "cls").select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "a long, b long")
     links = stash.put(links.distinct(), "links")
     stash.drop(texts)
@@ -298,7 +333,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         joined = components(stash, _confirmed(stash, docs, classes, tried, percent)) if joined is None else _linked(stash, docs, classes, tried, joined, percent)
     # the nearest ones of other components first, which leaves few for the pass over all
     for best in (BEST, None) if not crowded.isEmpty() else ():
-        pairs = across(stash, crowded, classes.select("cls", "sketch"), joined, percent, best)
+        pairs = across(stash, docs, crowded, classes, joined, percent, best)
         joined = _linked(stash, docs, classes, pairs, joined, percent)
     named = joined.join(first.select("cls", "rep"), joined.node == F.col("cls")).select("cls", "rep", "component")
     smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
