@@ -43,6 +43,7 @@ TREES, STEP = 24, 4
 #: Neighbours of a document on either side of it in an order.
 NEAR = 16
 #: So many most alike partners of each class are confirmed in each round; the last one takes all that are left.
+#: After the first, pairs that meet in crowded regions only are left to the comparison of all their members.
 ROUNDS = (2, 8, None)
 #: A region with more members may be dealt to several tasks.
 WHOLE = 4096
@@ -123,11 +124,13 @@ def orders(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _neighbours(need: float):
-    """Sorted rows ``region, order, cls`` -> likely pairs of neighbours ``a < b``, and in how many places their sketches agree."""
+    """Sorted rows ``region, order, cls, n`` -> likely pairs of neighbours ``a < b``, in how many places their
+    sketches agree, and whether the region is small, so that its members all meet."""
     width = TREES * STEP
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         region, cls, sk = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width), np.uint8)
+        small = np.zeros(0, bool)
         for big in it:
             for at in range(0, big.num_rows, 4000):
                 b = big.slice(at, 4000)
@@ -135,7 +138,8 @@ def _neighbours(need: float):
                 region = np.concatenate((region, b.column(0).to_numpy()))
                 cls = np.concatenate((cls, b.column(2).to_numpy()))
                 sk = np.concatenate((sk, np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, width)))
-                left, right, alike = [], [], []
+                small = np.concatenate((small, b.column(3).to_numpy() <= NEAR + 1))
+                left, right, alike, met = [], [], [], []
                 for step in range(1, min(NEAR, len(cls) - 1) + 1):
                     j = np.arange(max(held, step), len(cls))
                     j = j[region[j] == region[j - step]]
@@ -144,20 +148,21 @@ def _neighbours(need: float):
                     left.append(cls[j - step])
                     right.append(cls[j])
                     alike.append(same.astype(np.int32))
+                    met.append(small[j])
                 if left and len(x := np.concatenate(left)):
                     y = np.concatenate(right)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(alike))], names=["a", "b", "same"])
-                region, cls, sk = region[-NEAR:], cls[-NEAR:], sk[-NEAR:]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(alike)), pa.array(np.concatenate(met))], names=["a", "b", "same", "small"])
+                region, cls, sk, small = region[-NEAR:], cls[-NEAR:], sk[-NEAR:], small[-NEAR:]
 
     return run
 
 
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs ``a < b`` of classes near each other in some order, and in how many places they agree."""
+    """Likely pairs ``a < b`` of classes near each other in some order, in how many places they agree, and whether some small region has both."""
     part = F.when(F.col("n") > WHOLE, F.concat("order", F.col("cls").cast("string").cast("binary"))).otherwise(F.lit(b""))
     rows = rows.withColumn("part", part).repartitionByRange(partitions(rows.sparkSession), "region", "part")
-    rows = rows.select("region", "order", "cls").sortWithinPartitions("region", "order", "cls")
-    return rows.mapInArrow(_neighbours(_need(percent / 100)), "a long, b long, same int").groupBy("a", "b").agg(F.max("same").alias("same"))
+    rows = rows.select("region", "order", "cls", "n").sortWithinPartitions("region", "order", "cls")
+    return rows.mapInArrow(_neighbours(_need(percent / 100)), "a long, b long, same int, small boolean").groupBy("a", "b").agg(F.max("same").alias("same"), F.max("small").alias("small"))
 
 
 def _need(least: float) -> float:
@@ -284,7 +289,7 @@ def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     """Those of ``pairs`` whose ends are in different components."""
     of = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     rows = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return rows.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "same")
+    return rows.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "same", "small")
 
 
 def _linked(stash: Stash, docs: DataFrame, classes: DataFrame, pairs: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
@@ -328,7 +333,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     joined, tried = None, None
     for best in ROUNDS:
         if joined is not None:
-            pairs = stash.put(_apart(pairs.join(tried, ["a", "b"], "left_anti"), joined), "apart")
+            pairs = stash.put(_apart(pairs.where("small").join(tried, ["a", "b"], "left_anti"), joined), "apart")
         tried = pairs.select("a", "b") if best is None else stash.put(_best(pairs, best), "best")
         joined = components(stash, _confirmed(stash, docs, classes, tried, percent)) if joined is None else _linked(stash, docs, classes, tried, joined, percent)
     # the nearest ones of other components first, which leaves few for the pass over all
