@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,14 +25,45 @@ def stem(word: Column, strips: int = STRIPS) -> Column:
 
 
 def no_stop(words: Column) -> Column:
-    stop = F.array(*[F.lit(w) for w in fixed.STOP_WORDS])
-    return F.filter(words, lambda w: ~F.array_contains(stop, w))
+    return F.filter(words, lambda w: ~w.isin(*fixed.STOP_WORDS))  # becomes a look-up in a hash set
+
+
+def index_text(title: Column, content: Column) -> Column:
+    """What the tokens of a page are taken from: the title three times, then the content."""
+    return F.lower(F.concat(F.repeat(F.concat(F.coalesce(title, F.lit("")), F.lit(" ")), F.lit(3)), F.coalesce(content, F.lit(""))))
 
 
 def index_tokens(title: Column, content: Column) -> Column:
     """Tokens of a page in order, the title three times first, without stop words."""
-    text = F.lower(F.concat(F.repeat(F.concat(F.coalesce(title, F.lit("")), F.lit(" ")), F.lit(3)), F.coalesce(content, F.lit(""))))
-    return no_stop(F.regexp_extract_all(text, F.lit("([a-z0-9]{2,})"), 1))
+    return no_stop(F.regexp_extract_all(index_text(title, content), F.lit("([a-z0-9]{2,})"), 1))
+
+
+class Stems(dict):
+    """Stems of words of ASCII letters and digits, as bytes, for loops over tokens in Python: as ``stem``,
+    and None for stop words. What has been looked up is kept, up to ``most`` words.
+
+    ``fresh`` gathers the raw words in what had to be looked up: tokens contain all raw words of a text."""
+
+    _strip = re.compile(ONE_STRIP.encode()).match
+    _raw = re.compile(rb"[a-z]{4,}").findall
+
+    def __init__(self, most: int = 1 << 18):
+        self.most = most
+        self.stop = {w.encode() for w in fixed.STOP_WORDS}
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> bytes | None:
+        if len(self) >= self.most:
+            self.clear()
+        out = None if word in self.stop else word
+        for _ in range(STRIPS if out is not None else 0):
+            m = self._strip(out)
+            if m is None:
+                break
+            out = m[1]
+        self[word] = out
+        self.fresh += [w for w in self._raw(word) if w not in self.stop]
+        return out
 
 
 def query_tokens(query: Column) -> Column:

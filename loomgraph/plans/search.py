@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions import fixed, terms
-from loomgraph.functions.markup import let
 from loomgraph.operators import iterative
+from loomgraph.plans import scan
 
 K1, B = 1.5, 0.75
 WINDOW, PROXIMITY = 30, 0.3
@@ -23,10 +23,11 @@ PRIMARY_TOP, EXPANDED_TOP, HOT_ZONE = 200, 100, 40
 
 @dataclass
 class Index:
-    """Tables of a positional index. ``postings(stem, id, tf, positions)``, ``docs(id, ord,
-    title, subtype, length)``, ``stems(stem, df, idf)``, ``vocabulary(word)``, ``corpus`` one row."""
+    """Tables of a positional index. ``entries(id, ord, title, subtype, length, words, terms)`` has a row for each
+    document with its stems and their positions, ``docs`` its first five columns; ``stems(stem, df, idf)``,
+    ``vocabulary(word)``, ``corpus`` one row. ``postings(stem, id, tf, positions)`` are read off the entries."""
 
-    postings: DataFrame
+    entries: DataFrame
     docs: DataFrame
     stems: DataFrame
     vocabulary: DataFrame
@@ -35,7 +36,12 @@ class Index:
     b: float = B
     extra: dict = field(default_factory=dict)
 
-    TABLES = ("postings", "docs", "stems", "vocabulary", "corpus")
+    TABLES = ("entries", "docs", "stems", "vocabulary", "corpus")
+
+    @property
+    def postings(self) -> DataFrame:
+        t = self.entries.select("id", F.explode("terms").alias("t"))
+        return t.select("t.stem", "id", F.size("t.positions").alias("tf"), "t.positions")
 
     def write(self, path: str) -> None:
         for t in self.TABLES:
@@ -51,31 +57,91 @@ def positions(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", F.posexplode(terms.index_tokens(F.col("title"), F.col("content"))).alias("pos", "word"))
 
 
-def build(nodes: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Index:
-    """Index of nodes(id, ord, title, content, subtype). Words are stemmed once each, not
-    at each occurrence, where the vocabulary is smaller than the text. ``keep`` may write
-    each table down, so that it is computed once for all uses."""
-    tokens = positions(nodes)
-    stems_of = tokens.select("word").distinct().withColumn("stem", terms.stem(F.col("word")))
-    postings = keep(tokens.join(stems_of, "word").groupBy("stem", "id").agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")))
-    docs = keep(nodes.select("id", "ord", "title", "subtype", F.size(terms.index_tokens(F.col("title"), F.col("content"))).alias("length")))
-    corpus = docs.agg(F.count("*").alias("n"), (F.sum("length") / F.greatest(F.count("*"), F.lit(1))).alias("avgdl"))
-    df = postings.groupBy("stem").agg(F.count("*").alias("df"))
+def together(entries: DataFrame) -> DataFrame:
+    """Entries in which rows that share an id are one document: its first row has the terms of all of them, the others none."""
+    t = entries.select("id", F.explode("terms").alias("t")).groupBy("id", "t.stem").agg(F.array_sort(F.flatten(F.collect_list("t.positions"))).alias("positions"))
+    t = t.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("stem", "positions"))).alias("terms")).withColumnRenamed("id", "one")
+    first = F.row_number().over(Window.partitionBy("id").orderBy("ord", "title"))
+    e = entries.select(*[c for c in entries.columns if c != "terms"]).withColumn("first", first)
+    e = e.join(t, (F.col("first") == 1) & F.col("id").eqNullSafe(F.col("one")), "left")
+    return e.select(*[F.coalesce("terms", F.array().cast(entries.schema["terms"].dataType)).alias(c) if c == "terms" else c for c in entries.columns])
+
+
+def build(nodes: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> Index:
+    """Index of nodes(id, ord, title, content, subtype). A document is inverted by itself, without
+    a shuffle. ``keep`` may write each table down, so that it is computed once for all uses."""
+    put = keep or (lambda df: df)
+    entries = scan.inverted(nodes)
+    if not nodes.groupBy("id").count().where("count > 1").isEmpty():
+        entries = together(entries)
+    entries = put(entries)
+    if keep:
+        docs = entries.drop("words", "terms")
+    else:  # not by way of the terms
+        docs = nodes.select("id", "ord", "title", "subtype", F.size(terms.index_tokens(F.col("title"), F.col("content"))).alias("length"))
+    corpus = put(docs.agg(F.count("*").alias("n"), (F.sum("length") / F.greatest(F.count("*"), F.lit(1))).alias("avgdl")))
+    df = entries.select(F.explode("terms.stem").alias("stem")).groupBy("stem").agg(F.count("*").alias("df"))
     idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    stems = keep(df.crossJoin(F.broadcast(corpus)).select("stem", "df", idf.alias("idf")))  # one row
-    words = keep(nodes.select(F.explode(terms.raw_words(F.concat_ws(" ", "title", "content"))).alias("word")).distinct())
-    return Index(postings, docs, stems, words, corpus)
+    stems = put(df.crossJoin(F.broadcast(corpus)).select("stem", "df", idf.alias("idf")))  # one row
+    words = put(entries.select(F.explode("words").alias("word")).distinct())
+    return Index(entries, docs, stems, words, corpus)
+
+
+#: Words with at most so many letters after the first two meet by what is left of them without some letters, longer ones by pieces.
+LONG = 24
+
+
+def _marks(x: Column, k: int, asked: bool) -> Column:
+    """Marks of which two strings at a distance of ``k`` at most have one in common, one of them ``asked``.
+
+    Short ones have what is left without up to ``k`` characters. A long one is cut in
+    ``k`` + 1 pieces, one of which is whole in the other, at most ``k`` places off.
+    """
+    n = F.length(x)
+    none = F.array().cast("array<string>")
+    less = lambda y: F.when(F.length(y) > 0, F.transform(F.sequence(F.lit(1), F.length(y)), lambda i: F.concat(F.left(y, i - 1), F.substring(y, i + 1, F.length(y))))).otherwise(none)
+    left = F.concat(F.array(x), less(x))
+    if k == 2:
+        left = F.concat(left, F.flatten(F.transform(less(x), less)))
+    mark = lambda s, m, i: F.struct(m.cast("int").alias("n"), i.cast("int").alias("i"), s.alias("s"))
+    short = F.transform(F.array_distinct(left), lambda s: mark(s, F.lit(0), F.lit(0)))
+    near = F.sequence(F.lit(-k), F.lit(k)) if asked else F.array(F.lit(0))
+
+    def piece(m: Column, i: Column, off: Column) -> Column:
+        lo, hi = F.floor(m * i / (k + 1)), F.floor(m * (i + 1) / (k + 1))
+        return F.when((lo + off >= 0) & (hi + off <= n), mark(F.substring(x, (lo + off + 1).cast("int"), (hi - lo).cast("int")), m, i))
+
+    pieces = F.transform(near, lambda by: F.flatten(F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.transform(near, lambda off: piece(n + by, i, off)))))
+    long = F.array_distinct(F.array_compact(F.flatten(pieces)))
+    if asked:
+        return F.when(n <= LONG, short).otherwise(long)
+    return F.when(n <= LONG - k, short).when(n <= LONG + k, F.concat(short, long)).otherwise(long)
+
+
+def _within(odd: DataFrame, vocabulary: DataFrame, k: int) -> DataFrame:
+    """``word, m``: of the words at a distance of ``k`` at most with the same first two letters, the least (d, c)."""
+    split = lambda c: (F.left(c, F.lit(2)).alias("p"), F.substring(c, F.lit(3), F.length(c)).alias("end"))
+    w = odd.select("word", *split(F.col("word")))
+    sizes = w.select("p", F.explode(F.sequence(F.length("end") - k, F.length("end") + k)).alias("size")).distinct()
+    v = vocabulary.select(F.col("word").alias("c"), *split(F.col("word"))).withColumn("size", F.length("end"))
+    v = v.join(sizes, ["p", "size"], "left_semi")
+    w = w.select("word", "p", F.explode(_marks(F.col("end"), k, True)).alias("mark"))
+    v = v.select("c", "p", F.explode(_marks(F.col("end"), k, False)).alias("mark"))
+    near = w.join(v, ["p", "mark"]).withColumn("d", F.levenshtein("word", "c", k)).where("d >= 0")
+    return near.groupBy("word").agg(F.min(F.struct("d", "c")).alias("m"))
 
 
 def corrections(index: Index, words: DataFrame) -> DataFrame:
     """``word, correction``: nearest vocabulary word with the same first two letters, by
-    (distance, word), at a distance of two at most; only for unknown words of four letters."""
-    known = index.stems.select(F.col("stem").alias("word")).union(index.vocabulary.select("word")).distinct()
-    odd = words.select("word").distinct().where("length(word) >= 4").join(known, "word", "left_anti").withColumn("p", F.left("word", F.lit(2)))
-    cand = index.vocabulary.select(F.col("word").alias("c"), F.left("word", F.lit(2)).alias("p"))
-    near = odd.join(cand, "p").where(F.abs(F.length("word") - F.length("c")) <= 3)
-    near = near.withColumn("d", F.levenshtein("word", "c", 2)).where("d >= 0")
-    return near.groupBy("word").agg(F.min(F.struct("d", "c")).alias("m")).select("word", F.col("m.c").alias("correction"), F.col("m.d").alias("distance"))
+    (distance, word), at a distance of two at most; only for unknown words of four letters.
+
+    Words are compared only if they share a mark, first at a distance of one, and
+    those that have none so near at a distance of two."""
+    odd = words.select("word").distinct().where("length(word) >= 4")
+    odd = odd.join(index.stems.select(F.col("stem").alias("word")), "word", "left_anti").join(index.vocabulary, "word", "left_anti")
+    first = _within(odd, index.vocabulary, 1)
+    second = _within(odd.join(first.select("word"), "word", "left_anti"), index.vocabulary, 2)
+    return first.unionAll(second).select("word", F.col("m.c").alias("correction"), F.col("m.d").alias("distance"))
 
 
 def query_stems(index: Index, queries: DataFrame, spelling: bool = True) -> DataFrame:
@@ -89,36 +155,26 @@ def query_stems(index: Index, queries: DataFrame, spelling: bool = True) -> Data
     return t.select("qid", terms.stem(F.col("word")).alias("stem")).distinct()
 
 
-def near_terms(found: Column, window: int = WINDOW) -> Column:
-    """How many of ``found(stem, positions)`` have another one within ``window`` positions.
+def bm25(index: Index, queries: DataFrame, limit: int | None = PRIMARY_TOP, spelling: bool = True, proximity: float = PROXIMITY, window: int = WINDOW) -> DataFrame:
+    """``qid, id, score, n_near, rank``: best documents of each query, ties in document order."""
+    return bm25_runs(index, queries, [scan.Run(index.k1, index.b, window, proximity)], limit, spelling).drop("run")
 
-    Of all positions in order, a stem is near another one just if it is so at two that
-    follow each other, so one pass over them will do.
-    """
-    spots = F.array_sort(F.flatten(F.transform(found, lambda f: F.transform(f["positions"], lambda p: F.struct(p.alias("p"), f["stem"].alias("s"))))))
 
-    def close(s: Column) -> Column:
-        pairs = F.arrays_zip(F.slice(s, F.lit(1), F.size(s) - 1).alias("x"), F.slice(s, F.lit(2), F.size(s) - 1).alias("y"))
-        near = F.filter(pairs, lambda v: (v["x"]["s"] != v["y"]["s"]) & (v["y"]["p"] - v["x"]["p"] <= window))
-        return F.size(F.array_distinct(F.flatten(F.transform(near, lambda v: F.array(v["x"]["s"], v["y"]["s"])))))
+def bm25_runs(index: Index, queries: DataFrame, runs: list[scan.Run], limit: int | None = PRIMARY_TOP, spelling: bool = True) -> DataFrame:
+    """``run, qid, id, ord, score, n_near, rank`` of several settings in one pass over the entries.
 
-    return let(spots, close)
+    The batch's stems go to every task. A task scores its documents for all queries and
+    hands on those only that may be among the best, so what is shuffled does not grow with the hits."""
+    q = query_stems(index, queries, spelling).join(index.stems, "stem").select("qid", "stem", "idf")
+    batch = scan.Batch([tuple(r) for r in q.collect()], index.corpus.first()["avgdl"] or 1.0, tuple(runs), limit)
+    s = scan.scored(index.entries, batch)
+    factor = F.element_at(F.array(*[F.lit(float(r.proximity)) for r in runs]), F.col("run") + 1)
+    s = s.withColumn("score", F.round(F.when(F.col("n_near") >= 2, F.col("raw") * (1 + factor * (F.col("n_near") - 1))).otherwise(F.col("raw")), 9))
+    return top(s.select("run", "qid", "id", "ord", "score", "n_near"), limit, by=("run", "qid"))
 
 
-def bm25(index: Index, queries: DataFrame, limit: int | None = PRIMARY_TOP, spelling: bool = True, proximity: float = PROXIMITY, window: int = WINDOW) -> DataFrame:
-    """``qid, id, score, n_near, rank``: best documents of each query, ties in document order."""
-    q = query_stems(index, queries, spelling).join(index.stems, "stem")
-    hit = index.postings.join(q, "stem").join(index.docs.select("id", "ord", "length"), "id").crossJoin(F.broadcast(index.corpus.select("avgdl")))  # one row
-    tf = F.col("tf").cast("double")
-    part = F.col("idf") * tf * (index.k1 + 1) / (tf + index.k1 * (1 - index.b + index.b * F.col("length") / F.col("avgdl")))
-    s = hit.groupBy("qid", "id", "ord").agg(F.sum(part).alias("raw"), F.collect_list(F.struct("stem", "positions")).alias("found"))
-    s = s.withColumn("n_near", F.when(F.size("found") > 1, near_terms(F.col("found"), window)).otherwise(0))
-    s = s.withColumn("score", F.round(F.when(F.col("n_near") >= 2, F.col("raw") * (1 + proximity * (F.col("n_near") - 1))).otherwise(F.col("raw")), 9))
-    return top(s.select("qid", "id", "ord", "score", "n_near"), limit)
-
-
-def top(scored: DataFrame, limit: int | None, score: str = "score") -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc(score), "ord"))
+def top(scored: DataFrame, limit: int | None, score: str = "score", by: tuple[str, ...] = ("qid",)) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(score), "ord"))
     out = scored.withColumn("rank", rank)
     return out if limit is None else out.where(F.col("rank") <= limit)
 
@@ -177,8 +233,8 @@ def search(index: Index, queries: DataFrame, pairs: DataFrame, ranks: DataFrame,
     """``qid, rank, id, title, subtype, score``: fused scores, boosted by neighbours, PageRank,
     type and title. A query without hits falls back to the top pages by PageRank, of all types.
     Candidates, at most some hundred a query, are written down by ``keep``, as several steps read them."""
-    docs = index.docs.select("id", "title", "subtype")
-    s = keep(fused(index, queries, weights, keep).join(docs, "id"))
+    docs = index.docs.select("id", "ord", "title", "subtype")
+    s = keep(fused(index, queries, weights, keep).join(docs.drop("ord"), "id"))
     lead = top(s, 1).select("qid", F.col("subtype").alias("lead"))
     votes = neighbor_votes(s.select("qid", "id", "ord", "score"), pairs)
     t = queries.select("qid", F.explode(terms.query_tokens(F.col("query"))).alias("word"))
@@ -198,13 +254,13 @@ def search(index: Index, queries: DataFrame, pairs: DataFrame, ranks: DataFrame,
     if not weights.fallback:
         return out
     none = queries.select("qid").join(s.select("qid").distinct(), "qid", "left_anti")
-    best = fallback(index, ranks, limit)
+    best = fallback(docs, ranks, limit)
     return out.unionByName(none.crossJoin(F.broadcast(best)))  # `limit` rows
 
 
-def fallback(index: Index, ranks: DataFrame, limit: int = 10) -> DataFrame:
-    """The top pages by PageRank, in document order where equal."""
-    d = index.docs.join(ranks.select("id", F.col("score").alias("pr")), "id", "left").na.fill(0.0, ["pr"])
+def fallback(docs: DataFrame, ranks: DataFrame, limit: int = 10) -> DataFrame:
+    """The top pages of docs(id, ord, title, subtype) by PageRank, in document order where equal."""
+    d = docs.join(ranks.select("id", F.col("score").alias("pr")), "id", "left").na.fill(0.0, ["pr"])
     best = d.orderBy(F.desc("pr"), "ord").limit(limit)
     rank = F.row_number().over(Window.orderBy(F.desc("pr"), "ord"))  # over `limit` rows
     return best.select(rank.alias("rank"), "id", "title", "subtype", F.round("pr", 6).alias("score"))

@@ -209,3 +209,58 @@ def test_stream_ingest(spark, tmp_path):
     for _ in range(2):
         ingest.ingest(ingest.page_stream(spark, src), str(tmp_path / "out"), str(tmp_path / "cp"), markup.MEDIAWIKI).awaitTermination()
     assert ingest.latest(spark, str(tmp_path / "out")).count() == 4
+
+
+def test_documents_that_share_an_id_have_their_terms_once(spark):
+    docs = [("x", 0, "Kilo", "alpha beta alpha", "generic"), ("x", 1, "Lima", "beta gamma", "generic"), ("y", 2, "Mike", "beta", "generic")]
+    i = search.build(spark.createDataFrame(docs, "id string, ord long, title string, content string, subtype string"))
+    got = {(r.stem, r.id): (r.tf, r.positions) for r in i.postings.collect()}
+    assert got[("beta", "x")] == (2, [3, 4]) and got[("alpha", "x")] == (2, [3, 5]) and len(got) == 7
+    assert {r.stem: r.df for r in i.stems.collect()}["beta"] == 2
+
+
+def test_hits_are_not_shuffled_and_the_best_are_those_of_all(spark):
+    """Half the documents have all of the query's words: all that leaves a task are the best of each query."""
+    words = ["red", "blue", "green", "amber"]
+    docs = [(f"d{k:04}", k, "T", " ".join(words[j] for j in range(4) if k >> j & 1) + " pad" * (k % 37), "generic") for k in range(2000)]
+    n = spark.createDataFrame(docs, "id string, ord long, title string, content string, subtype string").repartition(3)
+    i = search.build(n)
+    q = ask(spark, "red blue", "green amber", "blue amber red")
+    every = search.bm25(i, q, limit=None).collect()
+    best = search.bm25(i, q, limit=5)
+    want = sorted((r.qid, r.rank, r.id, r.score, r.n_near) for r in every if r.rank <= 5)
+    assert sorted((r.qid, r.rank, r.id, r.score, r.n_near) for r in best.collect()) == want and len(want) == 15
+    batch = search.scan.Batch([(r.qid, r.stem, r.idf) for r in search.query_stems(i, q).join(i.stems, "stem").collect()], 20.0, (search.scan.Run(),), 5)
+    assert search.scan.scored(i.entries.repartition(3), batch).count() < len(every) / 4
+
+
+def test_spelling_of_long_words_and_of_two_letters(spark):
+    import random
+
+    r = random.Random(5)
+    words = ["".join(r.choice("abc") for _ in range(n)) for n in [*range(5, 40)] * 12]
+
+    def spoil(w):
+        for _ in range(r.randint(1, 3)):
+            k, c = r.randint(2, len(w) - 1), r.choice("abcq")
+            w = r.choice([w[:k] + w[k + 1 :], w[:k] + c + w[k:], w[:k] + c + w[k + 1 :]])
+        return w
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    i = search.build(spark.createDataFrame([("d", 0, "", " ".join(words), "generic")], "id string, ord long, title string, content string, subtype string"))
+    known = {x.word for x in i.vocabulary.collect()} | {x.stem for x in i.stems.collect()}
+    odd = sorted({spoil(w) for w in words} - known)
+    want = {}
+    for w in odd:
+        near = [(d, c) for c in set(words) if c[:2] == w[:2] and abs(len(c) - len(w)) <= 2 and (d := distance(w, c)) <= 2]
+        if near and len(w) >= 4:
+            want[w] = min(near)
+    got = {x.word: (x.distance, x.correction) for x in search.corrections(i, spark.createDataFrame([(w,) for w in odd], "word string")).collect()}
+    assert got == want and {d for d, _ in want.values()} == {1, 2} and max(map(len, want)) > 30
