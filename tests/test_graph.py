@@ -264,3 +264,36 @@ def test_spelling_of_long_words_and_of_two_letters(spark):
             want[w] = min(near)
     got = {x.word: (x.distance, x.correction) for x in search.corrections(i, spark.createDataFrame([(w,) for w in odd], "word string")).collect()}
     assert got == want and {d for d, _ in want.values()} == {1, 2} and max(map(len, want)) > 30
+
+
+def test_edges_are_dealt_by_the_size_of_the_input(spark, tmp_path, monkeypatch):
+    e = [(f"n{k % 50}", f"n{k * 7 % 60}", "wikilink", k) for k in range(3000)]
+    spark.createDataFrame(e, "source string, target string, relation string, ord long").write.parquet(str(tmp_path / "e"))
+    edges = spark.read.parquet(str(tmp_path / "e"))
+    nodes = spark.createDataFrame([(f"n{k % 40}",) for k in range(80)], "id string")  # each id twice
+    assert iterative.dealt(edges, "source").rdd.getNumPartitions() == edges.rdd.getNumPartitions()
+    size = sum(f.stat().st_size for f in (tmp_path / "e").glob("*.parquet"))
+    monkeypatch.setattr(iterative, "SMALL", 0)
+    monkeypatch.setattr(iterative, "SHARE", size // 30)
+    assert graph.internal_edges(edges, nodes).rdd.getNumPartitions() >= 25
+    assert graph.dedup_edges(edges).rdd.getNumPartitions() >= 25
+    have = {f"n{k}" for k in range(40)}
+    assert sorted(rows(graph.internal_edges(edges, nodes), "source", "target", "ord")) == sorted((s, t, o) for s, t, _, o in e if s in have and t in have)
+
+
+def test_pagerank_works_out_sinks_in_the_last_round(spark):
+    pairs = [(f"s{k % 7}", f"t{k % 11}") for k in range(60)] + [("t1", "s0"), ("t2", "s3"), ("t2", "s4")]
+    e = spark.createDataFrame([(a, b, "wikilink", 0) for a, b in pairs], "source string, target string, relation string, ord long")
+    links = {a: {y for x, y in pairs if x == a} for a, _ in pairs}
+    every = sorted({x for p in pairs for x in p})
+    score = dict.fromkeys(every, 1 / len(every))
+    for _ in range(10):
+        lost = sum(score[x] for x in every if x not in links)
+        fresh = dict.fromkeys(every, 0.15 / len(every) + 0.85 * lost / len(every))
+        for a, to in links.items():
+            for b in to:
+                fresh[b] += 0.85 * score[a] / len(to)
+        score = fresh
+    for tolerance in (None, 0.0):
+        got = {r.id: r.score for r in iterative.pagerank(e, rounds=10, tolerance=tolerance, normalise=False).collect()}
+        assert got.keys() == score.keys() and all(abs(got[x] - score[x]) < 1e-12 for x in every)
